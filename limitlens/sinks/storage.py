@@ -1,0 +1,74 @@
+"""Folders on the shared file system: where scratch tables go, which partitions exist."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared scratch folder, as the session names it.
+
+    Only a local session may fall back to a temporary folder of this machine.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="limitlens-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new path for a scratch table."""
+    return f"{shared_folder(spark)}/limitlens-{uuid.uuid4().hex}/{name}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Fix a small result on shared storage, so later writes cannot change what it says."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
+    """Values of the ``column=value`` folders under a table's root; none if it does not exist."""
+    system, target = _file_system(spark, root)
+    if not system.exists(target):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(target)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def drop_partitions(spark: SparkSession, root: str, column: str, values: list[str]) -> int:
+    """Delete partition folders; returns how many existed."""
+    dropped = 0
+    for value in values:
+        system, target = _file_system(spark, f"{root}/{column}={value}")
+        dropped += bool(system.delete(target, True))
+    return dropped
+
+
+def replace_folder(spark: SparkSession, staged: str, final: str) -> None:
+    """Put a finished table in the place of another one."""
+    system, source = _file_system(spark, staged)
+    _, target = _file_system(spark, final)
+    if system.exists(target):
+        system.delete(target, True)
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"could not move {staged} to {final}")
