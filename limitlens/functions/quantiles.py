@@ -16,9 +16,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _SLACK = 3
 
 
-def sketch_accuracy(largest_group: int) -> int:
-    """Sketch accuracy that leaves about a million readings inside one bracket."""
-    return int(min(1_000_000, max(10_000, 2 * _SLACK * largest_group / 1_000_000)))
+def sketch_accuracy(smallest_group: int, largest_group: int) -> int:
+    """Sketch accuracy that leaves about a million readings inside one bracket.
+
+    A bracket must also be wider than one rank of the smallest group; half of its readings
+    may have been rejected as outliers.
+    """
+    wanted = min(1_000_000, max(10_000, 2 * _SLACK * largest_group // 1_000_000))
+    return max(1, min(wanted, smallest_group // 2))
 
 
 def _brackets(probs: Sequence[float], accuracy: int) -> list[float]:
@@ -46,15 +51,20 @@ def large_group_quantiles(
     only the groups that a size profile found to be large, see ``operators.heat``.
     """
     values = df.select(*keys, value.alias("_v")).where("_v is not null")
+    cuts = _brackets(probs, accuracy)
     sketch = values.groupBy(*keys).agg(
         F.count("_v").alias("_n"),
-        F.percentile_approx("_v", _brackets(probs, accuracy), F.lit(accuracy)).alias("_edges"),
+        F.percentile_approx("_v", cuts, F.lit(accuracy)).alias("_edges"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
     )
 
     inside = F.lit(False)
     gap = F.lit(0)
     for i in range(len(probs)):
-        low, high = F.col("_edges")[2 * i], F.col("_edges")[2 * i + 1]
+        # The ends are known exactly; the sketch only estimates what lies between.
+        low = F.col("_edges")[2 * i] if cuts[2 * i] > 0 else F.col("_min")
+        high = F.col("_edges")[2 * i + 1] if cuts[2 * i + 1] < 1 else F.col("_max")
         inside = inside | F.col("_v").between(low, high)
         gap = gap + (F.col("_v") > high).cast("int")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from limitlens.config import MAD_SCALE, Settings
 
@@ -30,10 +30,14 @@ def with_control_limits(stats: DataFrame) -> DataFrame:
     return stats.withColumn("ucl", upper).withColumn("lcl", lower)
 
 
-def threshold_table(spark: SparkSession, settings: Settings) -> DataFrame:
-    """One row per pattern: a local table of fixed size."""
-    rows = [(p, float(s), float(r)) for p, (s, r) in sorted(settings.thresholds.items())]
-    return spark.createDataFrame(rows, "pattern STRING, sigma_limit DOUBLE, relative_limit DOUBLE")
+def _threshold(settings: Settings, which: int) -> Column:
+    """Threshold of the row's pattern (0 sigma, 1 relative); a literal map needs no join."""
+    entries = [
+        F.lit(part)
+        for pattern, limits in settings.thresholds.items()
+        for part in (pattern, float(limits[which]))
+    ]
+    return F.try_element_at(F.create_map(*entries), F.col("pattern"))
 
 
 def suppression_reason(settings: Settings, carved_out: Column) -> Column:
@@ -55,8 +59,7 @@ def with_verdict(
     A spec fails when its configured window is too loose both against its deviation and
     against its mean. A suppressed spec keeps its row and reason but does not fail.
     """
-    thresholds = F.broadcast(threshold_table(stats.sparkSession, settings))
-    joined = stats.join(thresholds, "pattern", "left")
+    joined = stats
     if exclusions is None:
         carved_out = F.lit(False)
     else:
@@ -64,8 +67,8 @@ def with_verdict(
         joined = joined.join(marked, "spec_id", "left")
         carved_out = F.coalesce("_excluded", F.lit(False))
     span = F.col("upper_spec") - F.col("lower_spec")
-    loose = (F.col("sigma_ratio") > F.col("sigma_limit")) & (
-        F.col("relative_ratio") > F.col("relative_limit")
+    loose = (F.col("sigma_ratio") > _threshold(settings, 0)) & (
+        F.col("relative_ratio") > _threshold(settings, 1)
     )
     judged = (
         joined.withColumn("sigma_ratio", F.try_divide(span, F.col("std")))
@@ -75,4 +78,4 @@ def with_verdict(
             "cww_fail", F.when(F.col("suppress_reason").isNull() & loose, 1).otherwise(0)
         )
     )
-    return judged.drop("sigma_limit", "relative_limit", "_excluded")
+    return judged.drop("_excluded")

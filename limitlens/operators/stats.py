@@ -53,7 +53,12 @@ def outlier_bounds(
     if heat.hot is not None:
         quartiles = quartiles.unionByName(
             large_group_quantiles(
-                heat.hot, keys, F.col(_VALUE), _QUARTILES, "_q", sketch_accuracy(heat.largest)
+                heat.hot,
+                keys,
+                F.col(_VALUE),
+                _QUARTILES,
+                "_q",
+                sketch_accuracy(settings.hot_rows, heat.largest),
             )
         )
     q = F.col("_q")
@@ -108,11 +113,8 @@ def _cold_stats(
     value = F.when(wanted, F.col(_VALUE))
     survivors = survivors.withColumn("_s", F.percentile(value, _doubles(_SPREAD)).over(group))
     deviation = F.abs(value - F.col("_s")[1])
-    return _aggregate(
-        survivors,
-        keys,
-        [F.first("_s").alias("_s"), F.percentile(deviation, F.lit(0.5)).alias("mad")],
-    )
+    survivors = survivors.withColumn("mad", F.percentile(deviation, F.lit(0.5)).over(group))
+    return _aggregate(survivors, keys, [F.first("_s").alias("_s"), F.first("mad").alias("mad")])
 
 
 def _hot_stats(
@@ -179,7 +181,7 @@ def spec_stats(
 
     stats = _cold_stats(cold, keys, settings, spread, wanted)
     if hot is not None:
-        accuracy = sketch_accuracy(largest)
+        accuracy = sketch_accuracy(settings.hot_rows, largest)
         stats = stats.unionByName(_hot_stats(hot, keys, settings, spread, wanted, accuracy))
     return stats.where(F.col("n_points") >= settings.min_points).select(
         *keys,

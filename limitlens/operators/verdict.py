@@ -11,7 +11,13 @@ from limitlens.operators.catalog import distinct_specs
 from limitlens.operators.rules import with_control_limits, with_verdict
 from limitlens.operators.stats import SPEC, spec_stats
 
-CURRENT, PRIOR = "current", "prior"
+# Window ids are numbers: they travel with every shuffled reading.
+CURRENT, PRIOR = 0, 1
+
+REPORT_DETAILS = (
+    "eqp_id", "pattern", "grade", "n_points", "mean", "std", "cv", "upper_spec", "lower_spec",
+    "ucl", "lcl", "sigma_ratio", "relative_ratio", "suppress_reason", "cww_fail",
+)
 
 
 def calculations(
@@ -36,7 +42,7 @@ def calculations(
     return with_verdict(with_control_limits(stats.join(specs, "spec_id")), settings, exclusions)
 
 
-def in_windows(readings: DataFrame, windows: Mapping[str, tuple[str, str]], day: str = "d") -> DataFrame:
+def in_windows(readings: DataFrame, windows: Mapping[int, tuple[str, str]], day: str = "d") -> DataFrame:
     """Tag each reading with every inclusive (first, last) date window that holds it.
 
     One scan and one shuffle then serve all windows; the date range reaches the scan.
@@ -83,10 +89,9 @@ def confirm(current: DataFrame, prior: DataFrame | None) -> DataFrame:
 
 def confirm_windows(verdicts: DataFrame) -> DataFrame:
     """As ``confirm``, for verdicts keyed by (window_id, spec_id) from one pass."""
-    details = [c for c in verdicts.columns if c not in ("window_id", "spec_id")]
     now = F.col("window_id") == CURRENT
     paired = verdicts.groupBy("spec_id").agg(
-        F.max(F.when(now, F.struct(*details))).alias("_now"),
+        F.max(F.when(now, F.struct(*REPORT_DETAILS))).alias("_now"),
         F.coalesce(F.max(F.when(~now, F.col("cww_fail"))), F.lit(0)).alias("pww_fail"),
     )
     return (
@@ -99,7 +104,7 @@ def confirm_windows(verdicts: DataFrame) -> DataFrame:
 def weekly_report(
     readings: DataFrame,
     catalog: DataFrame,
-    windows: Mapping[str, tuple[str, str]],
+    windows: Mapping[int, tuple[str, str]],
     settings: Settings = Settings(),
     exclusions: DataFrame | None = None,
 ) -> DataFrame:

@@ -11,11 +11,12 @@ from limitlens.functions.dates import day_closed
 from limitlens.operators.cache import day_manifest
 from limitlens.operators.catalog import CatalogSources
 from limitlens.operators.run_log import run_log
+from limitlens.operators.verdict import CURRENT, PRIOR
 
 # Fixed values of the test tables: their 30 days, and the two windows that are compared.
 FIRST_DAY, RUN_DAY = date(2024, 1, 1), date(2024, 1, 30)
 CACHED_BEFORE = date(2024, 1, 24)
-WINDOWS = {"current": ("2024-01-08", "2024-01-30"), "prior": ("2024-01-01", "2024-01-23")}
+WINDOWS = {CURRENT: ("2024-01-08", "2024-01-30"), PRIOR: ("2024-01-01", "2024-01-23")}
 CATALOG_DAY = date(2001, 11, 4)
 RUN_TIME = "2024-01-30 06:00:00"
 
@@ -134,8 +135,10 @@ def spec_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min("l_quantity").alias("_lo"),
             F.max("l_shipdate").cast("date").alias("last_used"),
             F.count("*").alias("used_count"),
-            F.max("l_returnflag").alias("_flag"),
+            # The greatest flag by its code: a number aggregates by hashing, text by sorting.
+            F.max(F.ascii("l_returnflag")).alias("_code"),
         )
+        .withColumn("_flag", F.chr("_code"))
         .select(
             F.col("l_partkey").alias("param_id"),
             F.col("l_suppkey").cast("string").alias("eqp_id"),

@@ -352,7 +352,7 @@ where {CURRENT} and exists (
     "specs_by_tool": f"""
 {_BASE}
 select eqp_id, 0 as part, string_agg('''' || spec_id || '''', ',' order by spec_id) as spec_ids,
-       count(*) as n_specs
+       cast(count(*) as integer) as n_specs
 from (select distinct eqp_id, spec_id from registrations) group by eqp_id""",
     "rows_per_spec": f"with {READINGS} select spec_id, count(*) as rows from readings group by spec_id",
     "tool_size_profile": f"""
@@ -366,7 +366,7 @@ sizes as (select eqp_id, count(*) as rows from readings group by eqp_id),
 specs as (select distinct eqp_id, spec_id, rows from registrations join sizes using (eqp_id))
 select eqp_id, spec_id,
        case when rows >= 70 then
-         ntile(3) over (partition by eqp_id order by md5(spec_id), spec_id) - 1 end as chunk_idx,
+         cast(ntile(3) over (partition by eqp_id order by md5(spec_id), spec_id) - 1 as integer) end as chunk_idx,
        round(case when rows >= 70 then rows / 3.0::double else rows::double end, 6) as est_rows
 from specs""",
     "id_list_text": """

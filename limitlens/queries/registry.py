@@ -13,10 +13,9 @@ from limitlens.operators import cache, catalog, profile, run_log, stats, verdict
 from limitlens.operators.calendar import build_calendar, with_work_week
 from limitlens.operators.heat import tools_over
 from limitlens.operators.rules import with_verdict
-from limitlens.plans import spec_stage
+from limitlens.plans import fetch_stage, spec_stage
 from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
-from limitlens.sinks.refresh import refresh_window as refresh
 from limitlens.sinks.storage import scratch_table
 from limitlens.sources.catalog import scan_catalog
 from limitlens.sources.readings import readings_filtered as filtered
@@ -51,44 +50,44 @@ def rounded(df: DataFrame) -> DataFrame:
 # --- statistics, rules, report ------------------------------------------------------------
 
 
-def _window(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    first, last = fx.WINDOWS[name]
+def _window(spark: SparkSession, sf_dir: str, window: int) -> DataFrame:
+    first, last = fx.WINDOWS[window]
     return fx.readings(spark, sf_dir).where(
         F.col("d").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
     )
 
 
-def _graded_window(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
-    return _window(spark, sf_dir, name), fx.graded(fx.registrations(spark, sf_dir))
+def _graded_window(spark: SparkSession, sf_dir: str, window: int) -> tuple[DataFrame, DataFrame]:
+    return _window(spark, sf_dir, window), fx.graded(fx.registrations(spark, sf_dir))
 
 
 @query
 def outlier_bounds(spark, sf_dir):
-    return rounded(stats.outlier_bounds(_window(spark, sf_dir, "current"), settings=fx.SETTINGS))
+    return rounded(stats.outlier_bounds(_window(spark, sf_dir, verdict.CURRENT), settings=fx.SETTINGS))
 
 
 @query
 def latest_limits(spark, sf_dir):
-    return stats.latest_limits(_window(spark, sf_dir, "current"))
+    return stats.latest_limits(_window(spark, sf_dir, verdict.CURRENT))
 
 
 @query
 def spec_stats(spark, sf_dir):
     return rounded(
-        stats.spec_stats(_window(spark, sf_dir, "current"), settings=fx.SETTINGS, spread=True)
+        stats.spec_stats(_window(spark, sf_dir, verdict.CURRENT), settings=fx.SETTINGS, spread=True)
     )
 
 
 @query
 def control_limits(spark, sf_dir):
-    rows, specs = _graded_window(spark, sf_dir, "current")
+    rows, specs = _graded_window(spark, sf_dir, verdict.CURRENT)
     found = verdict.calculations(rows, specs, fx.SETTINGS)
     return rounded(found.select("spec_id", "pattern", "ucl", "lcl"))
 
 
 @query
 def compliance_verdict(spark, sf_dir):
-    rows, specs = _graded_window(spark, sf_dir, "current")
+    rows, specs = _graded_window(spark, sf_dir, verdict.CURRENT)
     return rounded(
         verdict.calculations(rows, specs, fx.SETTINGS).select(
             "spec_id", "eqp_id", "pattern", "grade", "n_points", "mean", "std", "cv",
@@ -101,7 +100,7 @@ def compliance_verdict(spark, sf_dir):
 def suppression_reasons(spark, sf_dir):
     settings = replace(fx.SETTINGS, min_std=25.0, few_points_floor=8)
     specs = catalog.distinct_specs(fx.graded(fx.registrations(spark, sf_dir)), latest_first=())
-    found = stats.spec_stats(_window(spark, sf_dir, "current"), settings=settings)
+    found = stats.spec_stats(_window(spark, sf_dir, verdict.CURRENT), settings=settings)
     judged = with_verdict(
         found.join(specs.select("spec_id", "pattern"), "spec_id"),
         settings,
@@ -113,7 +112,7 @@ def suppression_reasons(spark, sf_dir):
 @query
 def prior_week_fails(spark, sf_dir):
     """Publishes the prior window's verdicts as a week and reads the flags back."""
-    rows, specs = _graded_window(spark, sf_dir, "prior")
+    rows, specs = _graded_window(spark, sf_dir, verdict.PRIOR)
     root = scratch_table(spark, "report")
     sinks.publish_report(
         verdict.confirm(verdict.calculations(rows, specs, fx.SETTINGS), None), root, "2024-04"
@@ -352,7 +351,7 @@ def tool_window_scan_lenient(spark, sf_dir):
 
 @query
 def readings_filtered(spark, sf_dir):
-    first, last = fx.WINDOWS["current"]
+    first, last = fx.WINDOWS[verdict.CURRENT]
     return filtered(
         fx.readings(spark, sf_dir),
         fx.registrations(spark, sf_dir),
@@ -452,8 +451,8 @@ def refresh_window(spark, sf_dir):
     root, manifest = scratch_table(spark, "readings"), scratch_table(spark, "manifest")
     first = fx.date(2024, 1, 23)
     known = rows.where(F.col("act_time") < F.lit("2024-01-23 12:00:00").cast("timestamp_ntz"))
-    refresh(known, specs, root, manifest, first, fx.SETTINGS)
-    refresh(rows, specs, root, manifest, fx.RUN_DAY, fx.SETTINGS)
+    fetch_stage.run(known, specs, root, manifest, first, fx.SETTINGS)
+    fetch_stage.run(rows, specs, root, manifest, fx.RUN_DAY, fx.SETTINGS)
     stored = read_table(spark, root, schemas.READINGS)
     entries = read_table(spark, manifest, schemas.MANIFEST)
     content = stored.groupBy("eqp_id", "d").agg(

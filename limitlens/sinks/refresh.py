@@ -34,12 +34,12 @@ def stored_manifest(spark: SparkSession, root: str, days: list[date], run_date:
     rows = (
         read_table(spark, root, schemas.READINGS)
         .where(F.col("d").isin(*days))
-        .groupBy("eqp_id", "d", F.col("_metadata.file_path").alias("_f"))
+        .groupBy("eqp_id", "d", F.col("_metadata.file_name").alias("_f"))
         .agg(F.count("*").alias("_rows"), F.max("_metadata.file_size").alias("_size"))
     )
-    per_file = rows.groupBy("_f").agg(F.sum("_rows").alias("_file_rows"))
+    per_file = rows.groupBy("_f", "d").agg(F.sum("_rows").alias("_file_rows"))
     return (
-        rows.join(per_file, "_f")
+        rows.join(per_file, ["_f", "d"])
         .groupBy("eqp_id", "d")
         .agg(
             F.sum("_rows").alias("row_count"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
@@ -30,9 +30,11 @@ def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per data file that holds rows: path, name and size. No column is read."""
+    """One row per parquet file: path and size. A listing; no file is opened."""
     return (
-        spark.read.parquet(path)
-        .select("_metadata.file_path", "_metadata.file_name", "_metadata.file_size")
-        .distinct()
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
     )
