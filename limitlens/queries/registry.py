@@ -16,7 +16,7 @@ from limitlens.operators.rules import with_verdict
 from limitlens.plans import fetch_stage, spec_stage
 from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
-from limitlens.sinks.storage import scratch_table
+from limitlens.storage import scratch_table
 from limitlens.sources.catalog import scan_catalog
 from limitlens.sources.readings import readings_filtered as filtered
 from limitlens.sources.readings import tool_window_scan as window_scan

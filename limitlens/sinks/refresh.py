@@ -11,8 +11,7 @@ from limitlens import schemas
 from limitlens.config import Settings
 from limitlens.functions.dates import day_closed
 from limitlens.operators.cache import fetch_plan
-from limitlens.operators.heat import broadcast_if_small
-from limitlens.sinks.storage import drop_partitions, durable
+from limitlens.storage import drop_partitions, durable
 from limitlens.sinks.tables import by_day, write_manifest
 from limitlens.sources.readings import readings_filtered
 from limitlens.sources.tables import read_table
@@ -76,14 +75,15 @@ def refresh_window(
     manifest = read_table(spark, manifest_root, schemas.MANIFEST)
     plan = durable(fetch_plan(catalog, manifest, run_date, settings))
     # At most one row per window day.
-    days = sorted(row.d for row in plan.select("d").distinct().collect())
-    if not days:
+    planned = {row.d: row["count"] for row in plan.groupBy("d").count().collect()}
+    if not planned:
         return RefreshResult(0, [], 0, [])
+    days = sorted(planned)
+    n_planned = sum(planned.values())
     known = durable(
         manifest.where(F.col("d").isin(*days)).join(plan, ["eqp_id", "d"], "left_anti")
     )
-    planned = plan.count()
-    small_plan = broadcast_if_small(plan, settings.broadcast_rows)
+    sized_plan = F.broadcast(plan) if n_planned <= settings.broadcast_rows else plan
 
     fetched = readings_filtered(
         source.where(F.col("d").isin(*days)),
@@ -92,11 +92,11 @@ def refresh_window(
         F.lit(days[-1]),
         settings.grades,
         settings.broadcast_rows,
-    ).join(small_plan, ["eqp_id", "d"], "left_semi")
+    ).join(sized_plan, ["eqp_id", "d"], "left_semi")
     kept = (
         read_table(spark, root, schemas.READINGS)
         .where(F.col("d").isin(*days))
-        .join(small_plan, ["eqp_id", "d"], "left_anti")
+        .join(sized_plan, ["eqp_id", "d"], "left_anti")
     )
     names = schemas.READINGS.names
     content = fetched.select(*names).unionByName(kept.select(*names))
@@ -131,4 +131,4 @@ def refresh_window(
     if broken:
         entries = entries.where(~F.col("d").isin(*broken))
     write_manifest(entries, manifest_root)
-    return RefreshResult(planned, days, sum(written.values()), broken)
+    return RefreshResult(n_planned, days, sum(written.values()), broken)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from limitlens import schemas
-from limitlens.sinks.storage import drop_partitions, partition_values, replace_folder
+from limitlens.storage import drop_partitions, partition_values, replace_folder
 
 ROWS_PER_FILE = 20_000_000
 

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from limitlens.storage import path_exists
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a table; a table that has not been written yet reads as empty."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def read_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:

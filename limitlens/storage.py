@@ -45,6 +45,11 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
 def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
     """Values of the ``column=value`` folders under a table's root; none if it does not exist."""
     system, target = _file_system(spark, root)
