@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3), BENCH_QUERIES (comma separated, default all but the duplicates).
+BENCH_RUNS (default 3), BENCH_QUERIES (comma separated, or "all"; default HEADLINES).
 Each query is run to the end into a no-op sink; the first run warms up, the median of the
 others counts.
 """
@@ -21,6 +21,14 @@ from limitlens.queries.registry import QUERIES  # noqa: E402
 from limitlens.session import local_session  # noqa: E402
 
 
+HEADLINES = [
+    "weekly_report", "spec_stats", "outlier_bounds", "latest_limits", "compliance_verdict",
+    "catalog_union", "catalog_dedup", "refresh_window", "day_manifest", "fetch_plan",
+    "manifest_verify", "readings_filtered", "tool_window_scan", "work_week_lookup",
+    "spec_chunks", "run_log_summary", "compact_chunks",
+]
+
+
 def seconds(spark, sf_dir: str, name: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -32,7 +40,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES")
-    names = chosen.split(",") if chosen else list(QUERIES)
+    names = chosen.split(",") if chosen else HEADLINES
+    if names == ["all"]:
+        names = list(QUERIES)
     spark = local_session(cpus, "bench")
     times = {}
     for name in names:

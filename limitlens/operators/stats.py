@@ -2,7 +2,8 @@
 
 Groups of ordinary size share one shuffle and one sort: the fences, the survivors' spread
 and the final aggregate all run over the same partitioning. Large groups are never brought
-together; they go through map-side combined passes and give the same numbers.
+together: their rows are written once and go through map-side combined passes, which give
+the same numbers.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from limitlens.config import TAIL_HIGH, TAIL_LOW, Settings
 from limitlens.functions.quantiles import large_group_quantiles, sketch_accuracy
 from limitlens.operators.heat import split_by_heat
+from limitlens.storage import scratch_table, stored
 
 SPEC = ("spec_id",)
 _QUARTILES = (0.25, 0.75)
@@ -46,7 +48,8 @@ def outlier_bounds(
 ) -> DataFrame:
     """Tukey fences ``Q1 - k*IQR`` and ``Q3 + k*IQR`` for each key."""
     keys = list(keys)
-    heat = split_by_heat(usable_readings(readings, keys).select(*keys, _VALUE), keys, settings.hot_rows)
+    values = usable_readings(readings, keys).select(*keys, _VALUE)
+    heat = split_by_heat(values, keys, settings.hot_rows)
     quartiles = heat.cold.groupBy(*keys).agg(
         F.percentile(_VALUE, _doubles(_QUARTILES)).alias("_q")
     )
@@ -155,13 +158,15 @@ def spec_stats(
     spread: bool = False,
     spread_where: Column | None = None,
     suspects: DataFrame | None = None,
+    hot_root: str | None = None,
 ) -> DataFrame:
     """Count, mean, deviation and variation of the points inside the fences, and the newest limits.
 
     Keys with fewer than ``min_points`` surviving points are dropped. ``spread`` adds the
     survivors' median, tail quantiles and median absolute deviation; ``spread_where`` limits
     that work to some groups. ``suspects`` (tool ids) limits the size profile to tools that
-    can hold a large spec; an empty frame means that no reading is scanned for it.
+    can hold a large spec; an empty frame means that no reading is scanned for it. Rows of large
+    specs are kept at ``hot_root`` (default: a new scratch table) until the result has been used.
     """
     keys = list(keys)
     wanted = F.lit(True) if spread_where is None else spread_where
@@ -182,6 +187,9 @@ def spec_stats(
     stats = _cold_stats(cold, keys, settings, spread, wanted)
     if hot is not None:
         accuracy = sketch_accuracy(settings.hot_rows, largest)
+        hot = stored(
+            hot.select(*cold.columns), hot_root or scratch_table(hot.sparkSession, "hot_rows")
+        )
         stats = stats.unionByName(_hot_stats(hot, keys, settings, spread, wanted, accuracy))
     return stats.where(F.col("n_points") >= settings.min_points).select(
         *keys,

@@ -28,13 +28,20 @@ def calculations(
     exclusions: DataFrame | None = None,
     spread_where: Column | None = None,
     suspects: DataFrame | None = None,
+    hot_root: str | None = None,
 ) -> DataFrame:
     """Statistics, catalog join, control limits and verdict for every spec at once.
 
     The catalog is cut to one row per spec first, so the join cannot multiply rows.
     """
     stats = spec_stats(
-        readings, keys, settings, spread=True, spread_where=spread_where, suspects=suspects
+        readings,
+        keys,
+        settings,
+        spread=True,
+        spread_where=spread_where,
+        suspects=suspects,
+        hot_root=hot_root,
     )
     specs = distinct_specs(
         catalog.where(F.col("pattern").isin(*settings.patterns)), latest_first=()

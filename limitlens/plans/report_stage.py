@@ -16,6 +16,7 @@ from limitlens.operators.verdict import calculations, confirm
 from limitlens.sinks.tables import publish_report
 from limitlens.sources.reports import prior_week_fails
 from limitlens.sources.tables import read_table
+from limitlens.storage import drop_folder, scratch_table
 
 
 def work_weeks(calendar: DataFrame, end: date) -> tuple[str, str]:
@@ -38,6 +39,7 @@ def build(
     end: date,
     settings: Settings = Settings(),
     exclusions: DataFrame | None = None,
+    hot_root: str | None = None,
 ) -> DataFrame:
     """One plan for all tools. The manifest tells which tools could hold a large spec."""
     readings = read_table(spark, root, schemas.READINGS).where(
@@ -50,6 +52,7 @@ def build(
         settings,
         exclusions=exclusions,
         suspects=tools_over(manifest, settings.hot_rows),
+        hot_root=hot_root,
     )
     report = confirm(verdicts, prior_week_fails(spark, report_root, previous_week))
     return report.join(
@@ -71,8 +74,11 @@ def run(
 ) -> str:
     """Publish the report of the run date's work week; returns the week."""
     week, previous = work_weeks(calendar, end)
+    hot_root = scratch_table(spark, "hot_rows")
     report = build(
-        spark, catalog, root, manifest_root, report_root, previous, end, settings, exclusions
+        spark, catalog, root, manifest_root, report_root, previous, end, settings, exclusions,
+        hot_root,
     )
     publish_report(report, report_root, week, replace)
+    drop_folder(spark, hot_root)
     return week

@@ -22,6 +22,7 @@ def local_session(cpus: int = 8, name: str = "limitlens") -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(name)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    builder = builder.config("spark.driver.memory", "8g")
     # Test tables are tiny: let their reduce stages use all cores.
     builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     spark = builder.config("spark.sql.shuffle.partitions", str(cpus)).getOrCreate()

@@ -39,6 +39,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write rows that several passes need, and read them back with only the columns of each pass."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.delete(target, True)
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
