@@ -94,6 +94,13 @@ def spec_chunks(
     return units.unionByName(whole)
 
 
+def paths_per_tool(files: DataFrame, path: str = "key") -> DataFrame:
+    """Sorted file paths of each tool; a tool has at most a few files per window day."""
+    return files.groupBy("eqp_id").agg(
+        F.sort_array(F.collect_set(path)).alias("paths"), F.count("*").alias("n_files")
+    )
+
+
 def largest_file_per_folder(files: DataFrame) -> DataFrame:
     """Largest file of each folder in MB, from rows of (file_path, file_size)."""
     return (

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from limitlens.config import TAIL_HIGH, TAIL_LOW, Settings
 from limitlens.functions.quantiles import large_group_quantiles, sketch_accuracy
-from limitlens.operators.heat import split_by_heat
+from limitlens.operators.heat import broadcast_if_small, split_by_heat
 from limitlens.storage import scratch_table, stored
 
 SPEC = ("spec_id",)
@@ -180,8 +180,9 @@ def spec_stats(
     elif suspects.isEmpty():
         cold, hot, largest = needed, None, 0
     else:
-        heat = split_by_heat(needed.join(suspects, "eqp_id", "left_semi"), keys, settings.hot_rows)
-        rest = needed.join(suspects, "eqp_id", "left_anti")
+        few = broadcast_if_small(suspects, settings.broadcast_rows)
+        heat = split_by_heat(needed.join(few, "eqp_id", "left_semi"), keys, settings.hot_rows)
+        rest = needed.join(few, "eqp_id", "left_anti")
         cold, hot, largest = rest.unionByName(heat.cold), heat.hot, heat.largest
 
     stats = _cold_stats(cold, keys, settings, spread, wanted)

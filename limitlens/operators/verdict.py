@@ -108,6 +108,24 @@ def confirm_windows(verdicts: DataFrame) -> DataFrame:
     )
 
 
+def tool_status(catalog: DataFrame, readings: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """What came of each catalog tool: ``calculated``, ``no calculations`` or ``no data``."""
+    tools = catalog.select("eqp_id").distinct()
+    sizes = readings.groupBy("eqp_id").agg(F.count("*").alias("rows"))
+    done = verdicts.groupBy("eqp_id").agg(F.count("*").alias("specs"))
+    return (
+        tools.join(sizes, "eqp_id", "left")
+        .join(done, "eqp_id", "left")
+        .fillna(0, ["rows", "specs"])
+        .withColumn(
+            "status",
+            F.when(F.col("rows") == 0, "no data")
+            .when(F.col("specs") == 0, "no calculations")
+            .otherwise("calculated"),
+        )
+    )
+
+
 def weekly_report(
     readings: DataFrame,
     catalog: DataFrame,

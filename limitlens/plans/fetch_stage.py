@@ -18,9 +18,10 @@ def run(
     manifest_root: str,
     end: date,
     settings: Settings = Settings(),
+    log_root: str | None = None,
 ) -> RefreshResult:
     oldest = f"{end - timedelta(days=settings.window_days - 1):%Y-%m-%d}"
     spark = source.sparkSession
     purge_expired_days(spark, manifest_root, oldest)
     purge_expired_days(spark, root, oldest)
-    return refresh_window(source, catalog, root, manifest_root, end, settings)
+    return refresh_window(source, catalog, root, manifest_root, end, settings, log_root)

@@ -21,6 +21,7 @@ class Roots:
     readings: str
     manifest: str
     report: str
+    log: str
 
 
 def run(
@@ -36,7 +37,7 @@ def run(
     spark = readings.sparkSession
     spec_stage.run(sources, roots.catalog, F.lit(end), f"{end} 00:00:00", settings)
     catalog = scan_catalog(spark, roots.catalog, "fixed")
-    fetch_stage.run(readings, catalog, roots.readings, roots.manifest, end, settings)
+    fetch_stage.run(readings, catalog, roots.readings, roots.manifest, end, settings, roots.log)
     return report_stage.run(
         spark, catalog, calendar, roots.readings, roots.manifest, roots.report, end, settings,
         exclusions,

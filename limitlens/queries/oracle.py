@@ -265,6 +265,17 @@ select spec_id, cww_fail as fail_flag from p_v""",
 {_REPORT} {_REPORT_SELECT} from c_v c left join p_v p using (spec_id)""",
     "publish_report": f"""
 {_REPORT} {_REPORT_SELECT}, '2024-05' as week from c_v c left join p_v p using (spec_id)""",
+    "tool_status": f"""
+{_BASE}, {_stats('w', "d >= date '2024-01-28'").replace('>= 5', '>= 3')},
+specs as (
+  select c.eqp_id, count(*) as n from w_stats s
+  join (select distinct spec_id, eqp_id from graded) c using (spec_id) group by c.eqp_id),
+sizes as (select eqp_id, count(*) as n from readings where d >= date '2024-01-28' group by eqp_id)
+select t.eqp_id, coalesce(z.n, 0) as rows, coalesce(s.n, 0) as specs,
+       case when z.n is null then 'no data' when s.n is null then 'no calculations' else 'calculated' end
+         as status
+from (select distinct eqp_id from registrations) t
+left join sizes z using (eqp_id) left join specs s using (eqp_id)""",
     "catalog_assemble": f"with {_CATALOG} select * from assembled",
     "catalog_dedup": f"""
 with {_LIMITS}
@@ -321,6 +332,9 @@ having max(cast(ts as date)) < date '2024-01-29'""",
     "key_parse": f"""
 with {_KEYS}
 select key, eqp_id, d, eqp_id as chunk_tool, eqp_id || '_chunk_3' as clean_name from parsed""",
+    "paths_per_tool": f"""
+with {_KEYS}
+select eqp_id, string_agg(key, ' ' order by key) as paths, count(*) as n_files from parsed group by eqp_id""",
     "fiscal_calendar": f"{_WEEK} from {_sundays('orders', 'o_orderdate')}",
     "work_week_lookup": f"""
 with weeks as ({_WEEK} from {_sundays('events', 'ts')})

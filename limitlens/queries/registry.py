@@ -146,6 +146,17 @@ def publish_report(spark, sf_dir):
     return rounded(report_week(spark, root, "2024-05").select(*REPORT_COLUMNS, "week"))
 
 
+@query
+def tool_status(spark, sf_dir):
+    """Outcome per tool for the last three days, where many specs have too few points."""
+    rows = fx.readings(spark, sf_dir).where(F.col("d") >= F.date_sub(fx.run_day(), 2))
+    specs = fx.graded(fx.registrations(spark, sf_dir))
+    settings = replace(fx.SETTINGS, min_points=3)
+    return verdict.tool_status(
+        fx.registrations(spark, sf_dir), rows, verdict.calculations(rows, specs, settings)
+    )
+
+
 # --- catalog ------------------------------------------------------------------------------
 
 
@@ -278,6 +289,12 @@ def key_parse(spark, sf_dir):
     )
 
 
+@query
+def paths_per_tool(spark, sf_dir):
+    found = profile.paths_per_tool(cache.parse_keys(fx.object_keys(spark, sf_dir)))
+    return found.select("eqp_id", F.concat_ws(" ", "paths").alias("paths"), "n_files")
+
+
 # --- calendar -----------------------------------------------------------------------------
 
 

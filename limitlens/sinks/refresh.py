@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from limitlens import schemas
 from limitlens.config import Settings
 from limitlens.functions.dates import day_closed
+from limitlens.functions.numbers import megabytes
 from limitlens.operators.cache import fetch_plan
 from limitlens.storage import drop_partitions, durable
-from limitlens.sinks.tables import by_day, write_manifest
+from limitlens.sinks.tables import append_run_log, by_day, write_manifest
 from limitlens.sources.readings import readings_filtered
 from limitlens.sources.tables import read_table
 
@@ -20,6 +21,7 @@ from limitlens.sources.tables import read_table
 @dataclass(frozen=True)
 class RefreshResult:
     planned_tool_days: int
+    skipped_tool_days: int
     days: list[date]
     rows_written: int
     days_dropped: list[date]
@@ -54,6 +56,25 @@ def _day_counts(days: list[date]) -> list[Column]:
     return [F.count(F.when(F.col("d") == F.lit(d), 1)).alias(f"n_{d:%Y%m%d}") for d in days]
 
 
+def unit_outcomes(plan: DataFrame, stored: DataFrame, broken: list[date], end: date) -> DataFrame:
+    """Run-log rows: what became of each planned tool-day."""
+    failed = F.col("d").isin(*broken) if broken else F.lit(False)
+    return plan.join(stored, ["eqp_id", "d"], "left").select(
+        F.lit(f"{end:%Y-%m-%d}").alias("timestamp"),
+        F.concat_ws("/", "eqp_id", F.col("d").cast("string")).alias("out_name"),
+        "eqp_id",
+        "d",
+        F.when(failed, "failed")
+        .when(F.col("row_count").isNull(), "empty")
+        .otherwise("wrote")
+        .alias("status"),
+        F.when(failed, 0).otherwise(F.coalesce("row_count", F.lit(0))).alias("actual_rows"),
+        F.round(megabytes(F.coalesce("byte_size", F.lit(0))), 3).alias("nbytes_mb"),
+        F.when(failed, "upload").alias("stage"),
+        F.when(failed, "stored rows differ from written rows; day dropped").alias("error"),
+    )
+
+
 def refresh_window(
     source: DataFrame,
     catalog: DataFrame,
@@ -61,6 +82,7 @@ def refresh_window(
     manifest_root: str,
     end: date,
     settings: Settings = Settings(),
+    log_root: str | None = None,
 ) -> RefreshResult:
     """Bring the cache up to date for the window that ends on ``end`` (the run date).
 
@@ -68,7 +90,8 @@ def refresh_window(
     as a whole: new rows plus the rows already cached for other tools. The manifest of these
     days is taken away first and written last, so a run that dies in between is repeated in
     full by the next one. A day whose stored rows differ from the written rows is dropped and
-    stays out of the manifest, which makes the next run fetch it again.
+    stays out of the manifest, which makes the next run fetch it again. With ``log_root`` each
+    planned tool-day adds its outcome to the run log.
     """
     spark = source.sparkSession
     run_date = F.lit(end)
@@ -76,8 +99,9 @@ def refresh_window(
     plan = durable(fetch_plan(catalog, manifest, run_date, settings))
     # At most one row per window day.
     planned = {row.d: row["count"] for row in plan.groupBy("d").count().collect()}
+    n_wanted = fetch_plan(catalog, None, run_date, settings).count()
     if not planned:
-        return RefreshResult(0, [], 0, [])
+        return RefreshResult(0, n_wanted, [], 0, [])
     days = sorted(planned)
     n_planned = sum(planned.values())
     known = durable(
@@ -131,4 +155,6 @@ def refresh_window(
     if broken:
         entries = entries.where(~F.col("d").isin(*broken))
     write_manifest(entries, manifest_root)
-    return RefreshResult(n_planned, days, sum(written.values()), broken)
+    if log_root is not None:
+        append_run_log(unit_outcomes(plan, stored, broken, end), log_root)
+    return RefreshResult(n_planned, n_wanted - n_planned, days, sum(written.values()), broken)

@@ -25,6 +25,7 @@ def tool_window_scan(
     add_partition_date: bool = True,
     sort_by: str | None = None,
     strict: bool = True,
+    broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """Readings of the given tools (default: all) over the window.
 
@@ -33,7 +34,8 @@ def tool_window_scan(
     """
     rows = readings.where(in_window(F.col("d"), end, days))
     if tools is not None:
-        rows = rows.join(tools.select("eqp_id").distinct(), "eqp_id", "left_semi")
+        wanted = broadcast_if_small(tools.select("eqp_id").distinct(), broadcast_rows)
+        rows = rows.join(wanted, "eqp_id", "left_semi")
     kept = list(columns) if strict else [c for c in columns if c in readings.columns]
     if add_partition_date:
         rows = rows.withColumn("partition_date", F.col("d").cast("string"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from limitlens import schemas
 from limitlens.config import Settings
-from limitlens.operators import cache
+from limitlens.operators import cache, run_log
 from limitlens.plans import fetch_stage
 from limitlens.sinks.refresh import refresh_window
 from limitlens.sinks.tables import purge_expired_days, write_days
@@ -130,12 +130,13 @@ def test_refresh_twice_is_refresh_once(spark, make_readings, catalog, roots):
     source = make_readings(source_rows(10))
     first = refresh_window(source, catalog, *roots, END, THREE)
     assert (first.planned_tool_days, first.rows_written, first.days_dropped) == (9, 6, [])
+    assert first.skipped_tool_days == 0
     content, listed = stored(spark, roots[0]), entries(spark, roots[1])
     assert {(t, s) for t, s, *_ in content} == {("a", "a-1"), ("b", "b-1")}
     assert len(listed) == 9 and ("c", date(2024, 1, 9), 0, 1) in listed
     second = refresh_window(source, catalog, *roots, END, THREE)
     # Only the day that was still open is read again.
-    assert second.days == [END] and second.planned_tool_days == 3
+    assert second.days == [END] and (second.planned_tool_days, second.skipped_tool_days) == (3, 6)
     assert stored(spark, roots[0]) == content and entries(spark, roots[1]) == listed
 
 
@@ -176,6 +177,27 @@ def test_run_that_died_before_the_manifest_is_repeated(spark, make_readings, cat
     assert date(2024, 1, 9) in result.days and stored(spark, roots[0]) == content
 
 
+def test_damaged_day_is_dropped_and_fetched_again(spark, make_readings, catalog, roots, tmp_path, monkeypatch):
+    from limitlens.sinks import refresh
+
+    source, log = make_readings(source_rows(10)), str(tmp_path / "log")
+    honest = refresh.stored_manifest
+
+    def short(*args):
+        found = honest(*args)
+        return found.withColumn("row_count", F.when(F.col("d") == "2024-01-09", 0).otherwise(F.col("row_count")))
+
+    monkeypatch.setattr(refresh, "stored_manifest", short)
+    result = refresh_window(source, catalog, *roots, END, THREE, log)
+    assert result.days_dropped == [date(2024, 1, 9)]
+    assert "2024-01-09" not in partition_values(spark, roots[0], "d") + partition_values(spark, roots[1], "d")
+    failed = run_log.failed_units(read_table(spark, log, schemas.RUN_LOG))
+    assert {(r.eqp_id, str(r.d)) for r in failed.collect()} == {(t, "2024-01-09") for t in "abc"}
+    monkeypatch.undo()
+    assert date(2024, 1, 9) in refresh_window(source, catalog, *roots, END, THREE).days
+    assert len(stored(spark, roots[0])) == 6 and len(entries(spark, roots[1])) == 9
+
+
 def test_purge(spark, make_readings, tmp_path):
     root = str(tmp_path / "r")
     assert purge_expired_days(spark, root, "2024-01-08") == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from limitlens import schemas
 from limitlens.operators import catalog as cat
 from limitlens.operators.calendar import build_calendar
+from limitlens.operators.run_log import failed_units, run_log_summary
 from limitlens.operators.verdict import calculations, confirm
 from limitlens.plans import report_stage, weekly
 from limitlens.queries import fixtures as fx
@@ -109,7 +110,7 @@ def spec_sources(spark):
 def test_two_weeks(spark, spec_sources, tmp_path):
     from dataclasses import replace
 
-    roots = weekly.Roots(*(str(tmp_path / n) for n in ("catalog", "readings", "manifest", "report")))
+    roots = weekly.Roots(*(str(tmp_path / n) for n in ("catalog", "readings", "manifest", "report", "log")))
     readings = fx.readings(spark, SF_DIR)
     calendar = build_calendar(readings.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day")))
     settings = replace(fx.SETTINGS, window_days=23)
@@ -135,6 +136,15 @@ def test_two_weeks(spark, spec_sources, tmp_path):
     )
     assert {r.days_present for r in published.select("days_present").distinct().collect()} == {23}
 
+    log = read_table(spark, roots.log, schemas.RUN_LOG)
+    (summary,) = run_log_summary(log).collect()
+    assert summary.rows == read_table(spark, roots.readings, schemas.READINGS).count() + readings.where(
+        F.col("d") < F.lit(date(2024, 1, 8))
+    ).join(catalog, "spec_id", "left_semi").count() + readings.where("d = '2024-01-23'").join(
+        catalog, "spec_id", "left_semi"
+    ).count()
+    assert summary.failed == 0 and failed_units(log).isEmpty()
+
     # A repeated run changes nothing.
     before = rows_of(published)
     assert weekly.run(spec_sources, readings, calendar, roots, date(2024, 1, 30), settings) == "2024-05"
