@@ -178,11 +178,12 @@ def spec_stats(
         heat = split_by_heat(needed, keys, settings.hot_rows)
         cold, hot, largest = heat.cold, heat.hot, heat.largest
     elif suspects.isEmpty():
-        cold, hot, largest = needed, None, 0
+        cold, hot, largest = needed.drop("eqp_id"), None, 0
     else:
         few = broadcast_if_small(suspects, settings.broadcast_rows)
-        heat = split_by_heat(needed.join(few, "eqp_id", "left_semi"), keys, settings.hot_rows)
-        rest = needed.join(few, "eqp_id", "left_anti")
+        looked_at = needed.join(few, "eqp_id", "left_semi").drop("eqp_id")
+        heat = split_by_heat(looked_at, keys, settings.hot_rows)
+        rest = needed.join(few, "eqp_id", "left_anti").drop("eqp_id")
         cold, hot, largest = rest.unionByName(heat.cold), heat.hot, heat.largest
 
     stats = _cold_stats(cold, keys, settings, spread, wanted)

@@ -43,9 +43,10 @@ def calculations(
         suspects=suspects,
         hot_root=hot_root,
     )
+    supported = catalog.where(F.col("pattern").isin(*settings.patterns))
     specs = distinct_specs(
-        catalog.where(F.col("pattern").isin(*settings.patterns)), latest_first=()
-    ).select("spec_id", "eqp_id", "pattern", "grade")
+        supported.select("spec_id", "eqp_id", "pattern", "grade"), latest_first=()
+    )
     return with_verdict(with_control_limits(stats.join(specs, "spec_id")), settings, exclusions)
 
 
