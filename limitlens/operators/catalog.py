@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from limitlens.config import Settings
 from limitlens.functions.numbers import numeric_limit
 from limitlens.functions.text import canonical_name
+from limitlens.operators.heat import broadcast_if_small
 
 # Numeric class code of a parameter -> behaviour class.
 PATTERN_CODES = {1: "PATTERN_A", 2: "PATTERN_B", 3: "PATTERN_C", 4: "PATTERN_D"}
@@ -61,7 +62,9 @@ def assemble_catalog(
     """Join the source tables, keep supported specs, drop double registrations, correct patterns.
 
     The limits are filtered and cut to one row per spec before the joins: every later filter
-    depends on the spec alone, so the result is the same and the joins carry fewer rows.
+    depends on the spec alone, so the result is the same and the joins carry fewer rows. Tool
+    facts become one table first; if a count shows that it is small, the specs (of which one
+    tool may own a third) are not shuffled by tool at all.
     """
     limits = distinct_specs(used_specs(sources.limits, run_date, settings))
     parameters = sources.parameters.where(F.col("grade").isin(*settings.grades)).select(
@@ -77,19 +80,21 @@ def assemble_catalog(
     tools = sources.tool_config
     if settings.excluded_areas:
         tools = tools.where(~F.col("area").isin(*settings.excluded_areas))
-    catalog = (
-        limits.join(parameters.join(definitions, "param_name"), "param_id")
-        .join(tools, "eqp_id")
-        .join(sources.equipment_names, "eqp_id", "left")
+    tools = tools.join(sources.equipment_names, "eqp_id", "left")
+    catalog = limits.join(parameters.join(definitions, "param_name"), "param_id").join(
+        broadcast_if_small(tools, settings.broadcast_rows), "eqp_id"
     )
-    return overlay_patterns(catalog, sources.overrides)
+    return overlay_patterns(catalog, sources.overrides, settings)
 
 
-def overlay_patterns(catalog: DataFrame, overrides: DataFrame | None) -> DataFrame:
+def overlay_patterns(
+    catalog: DataFrame, overrides: DataFrame | None, settings: Settings = Settings()
+) -> DataFrame:
     """A curated pattern wins over the reported one. No table means no change."""
     if overrides is None:
         return catalog
     corrected = overrides.groupBy("param_id").agg(F.max("pattern").alias("_pattern"))
+    corrected = broadcast_if_small(corrected, settings.broadcast_rows)
     return (
         catalog.join(corrected, "param_id", "left")
         .withColumn("pattern", F.coalesce("_pattern", "pattern"))

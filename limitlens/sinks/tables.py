@@ -59,10 +59,13 @@ def publish_report(report: DataFrame, root: str, week: str, replace: bool = True
     return True
 
 
-def append_run_log(log: DataFrame, root: str) -> None:
-    """Add a run's units to the log; earlier runs stay."""
-    known = [c for c in schemas.RUN_LOG.names if c in log.columns]
-    log.select(*known).write.mode("append").option("compression", "zstd").parquet(root)
+def append_run_log(log: DataFrame, root: str, kind: str = "parquet") -> None:
+    """Add a run's units to the log (``parquet``, or ``csv`` with a header); earlier runs stay."""
+    columns = [
+        F.col(f.name) if f.name in log.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schemas.RUN_LOG.fields
+    ]
+    log.select(*columns).write.mode("append").format(kind).option("header", True).save(root)
 
 
 def compact_chunks(chunks: DataFrame, staging: str, final: str, drop: str = "chunk_idx") -> DataFrame:

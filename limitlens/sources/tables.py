@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from limitlens import schemas
 from limitlens.storage import path_exists
 
 
@@ -17,6 +18,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.createDataFrame([], schema)
 
 
+def read_run_log(spark: SparkSession, root: str, kind: str = "parquet") -> DataFrame:
+    """The run log of all runs so far; empty before the first one."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], schemas.RUN_LOG)
+    return spark.read.schema(schemas.RUN_LOG).format(kind).option("header", True).load(root)
+
+
 def read_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
     """Read a list of files as one table."""
     return spark.read.schema(schema).parquet(*paths)

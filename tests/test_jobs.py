@@ -15,7 +15,7 @@ from limitlens.plans import report_stage, weekly
 from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
 from limitlens.sources.reports import prior_week_fails, report_week
-from limitlens.sources.tables import read_files, read_table, renamed, stored_files
+from limitlens.sources.tables import read_files, read_run_log, read_table, renamed, stored_files
 from limitlens.storage import scratch_table
 
 
@@ -36,12 +36,15 @@ def test_publish_replaces_only_its_week(spark, small_report, tmp_path):
     assert rows_of(prior_week_fails(spark, root, "2024-01")) == [("s1", 1), ("s2", 0)]
 
 
-def test_run_log_appends(spark, tmp_path):
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_run_log_appends(spark, tmp_path, kind):
     root = str(tmp_path / "log")
-    log = spark.createDataFrame([("a", "wrote")], "eqp_id STRING, status STRING")
-    sinks.append_run_log(log, root)
-    sinks.append_run_log(log, root)
-    assert read_table(spark, root, schemas.RUN_LOG).count() == 2
+    assert read_run_log(spark, root, kind).isEmpty()
+    log = spark.createDataFrame([("a", "wrote", 7)], "eqp_id STRING, status STRING, actual_rows BIGINT")
+    sinks.append_run_log(log, root, kind)
+    sinks.append_run_log(log, root, kind)
+    found = read_run_log(spark, root, kind).select("eqp_id", "status", "actual_rows", "error")
+    assert rows_of(found) == [("a", "wrote", 7, None)] * 2
 
 
 def test_compaction_keeps_every_row(spark, make_readings, tmp_path):
