@@ -8,7 +8,7 @@ passes combine on the map side. The result equals ``percentile`` (linear interpo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -44,11 +44,12 @@ def large_group_quantiles(
     probs: Sequence[float],
     out: str,
     accuracy: int = 10_000,
+    side: Callable[[DataFrame], DataFrame] = F.broadcast,
 ) -> DataFrame:
     """One row per key with the array ``out`` of exact quantiles of ``value``.
 
-    The number of groups must be small (the sketch result is broadcast): callers pass
-    only the groups that a size profile found to be large, see ``operators.heat``.
+    Callers pass only the groups that a size profile found to be large, see
+    ``operators.heat``; ``side`` hints how their one-row-per-group sketch is joined.
     """
     values = df.select(*keys, value.alias("_v")).where("_v is not null")
     cuts = _brackets(probs, accuracy)
@@ -70,7 +71,7 @@ def large_group_quantiles(
 
     # One row per distinct value inside a bracket, one row for each gap between brackets.
     steps = (
-        values.join(F.broadcast(sketch), list(keys))
+        values.join(side(sketch), list(keys))
         .withColumn("_kept", F.when(inside, F.col("_v")))
         .withColumn("_gap", F.when(~inside, gap))
         .groupBy(*keys, "_gap", "_kept")

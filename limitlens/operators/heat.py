@@ -7,17 +7,29 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-# Beyond this many large groups their keys stay a DataFrame and are not taken to the driver.
+from limitlens.storage import durable
+
+# Beyond this many large groups their keys stay a table and are not taken to the driver.
 MAX_LISTED_GROUPS = 10_000
+# Beyond this many large groups, nothing that has a row per large group is broadcast.
+MAX_BROADCAST_GROUPS = 2_000_000
 
 
 @dataclass(frozen=True)
 class Heat:
-    """Rows split by the size of their group. ``hot`` is None when no group is large."""
+    """Rows split by the size of their group. ``hot`` is None when no group is large.
+
+    ``few`` tells that one row per large group may be broadcast.
+    """
 
     cold: DataFrame
     hot: DataFrame | None
     largest: int
+    few: bool = True
+
+    def side(self, per_group: DataFrame) -> DataFrame:
+        """A join side with one row per large group."""
+        return F.broadcast(per_group) if self.few else per_group
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
@@ -29,8 +41,8 @@ def split_by_heat(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Heat:
     """Split off the groups with more than ``hot_rows`` rows.
 
     Costs one pass over the key columns, combined on the map side. At most
-    total / hot_rows groups can be large, so the list that reaches the driver is short;
-    when it is not, the keys are joined without a broadcast hint.
+    total / hot_rows groups can be large, so the list is usually short and goes through the
+    driver; a longer one is kept as a table, and broadcast only if a count allows it.
     """
     keys = list(keys)
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
@@ -38,12 +50,17 @@ def split_by_heat(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Heat:
     if not listed:
         return Heat(df, None, 0)
     if len(listed) <= MAX_LISTED_GROUPS:
-        local = df.sparkSession.createDataFrame(listed, sizes.schema).select(*keys)
-        large = F.broadcast(local)
+        few, large = True, df.sparkSession.createDataFrame(listed, sizes.schema).select(*keys)
     else:
-        large = sizes.select(*keys)
+        large = durable(sizes.select(*keys))
+        few = large.count() <= MAX_BROADCAST_GROUPS
+    if few:
+        large = F.broadcast(large)
     return Heat(
-        df.join(large, keys, "left_anti"), df.join(large, keys, "left_semi"), listed[0]["_rows"]
+        df.join(large, keys, "left_anti"),
+        df.join(large, keys, "left_semi"),
+        listed[0]["_rows"],
+        few,
     )
 
 

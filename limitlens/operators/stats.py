@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from limitlens.config import TAIL_HIGH, TAIL_LOW, Settings
 from limitlens.functions.quantiles import large_group_quantiles, sketch_accuracy
-from limitlens.operators.heat import broadcast_if_small, split_by_heat
+from limitlens.operators.heat import Heat, broadcast_if_small, split_by_heat
 from limitlens.storage import scratch_table, stored
 
 SPEC = ("spec_id",)
@@ -62,6 +62,7 @@ def outlier_bounds(
                 _QUARTILES,
                 "_q",
                 sketch_accuracy(settings.hot_rows, heat.largest),
+                heat.side,
             )
         )
     q = F.col("_q")
@@ -126,26 +127,27 @@ def _hot_stats(
     settings: Settings,
     spread: bool,
     wanted: Column,
-    accuracy: int,
+    heat: Heat,
 ) -> DataFrame:
     value = F.col(_VALUE)
-    quartiles = large_group_quantiles(readings, keys, value, _QUARTILES, "_q", accuracy)
+    how = {"accuracy": sketch_accuracy(settings.hot_rows, heat.largest), "side": heat.side}
+    quartiles = large_group_quantiles(readings, keys, value, _QUARTILES, "_q", **how)
     bounds = quartiles.select(*keys, *_fences(F.col("_q"), settings.fence_k))
-    survivors = readings.join(F.broadcast(bounds), keys).where(
+    survivors = readings.join(heat.side(bounds), keys).where(
         value.between(F.col("lower_bound"), F.col("upper_bound"))
     )
     stats = _aggregate(survivors, keys, [])
     if not spread:
         return stats
     seen = survivors.where(wanted)
-    spreads = large_group_quantiles(seen, keys, value, _SPREAD, "_s", accuracy)
-    deviations = seen.join(F.broadcast(spreads), keys).withColumn(
+    spreads = large_group_quantiles(seen, keys, value, _SPREAD, "_s", **how)
+    deviations = seen.join(heat.side(spreads), keys).withColumn(
         "_dev", F.abs(value - F.col("_s")[1])
     )
-    mads = large_group_quantiles(deviations, keys, F.col("_dev"), (0.5,), "_m", accuracy)
+    mads = large_group_quantiles(deviations, keys, F.col("_dev"), (0.5,), "_m", **how)
     return (
-        stats.join(F.broadcast(spreads), keys, "left")
-        .join(F.broadcast(mads), keys, "left")
+        stats.join(heat.side(spreads), keys, "left")
+        .join(heat.side(mads), keys, "left")
         .withColumn("mad", F.col("_m")[0])
         .drop("_m")
     )
@@ -176,23 +178,22 @@ def spec_stats(
     )
     if suspects is None:
         heat = split_by_heat(needed, keys, settings.hot_rows)
-        cold, hot, largest = heat.cold, heat.hot, heat.largest
+        cold = heat.cold
     elif suspects.isEmpty():
-        cold, hot, largest = needed.drop("eqp_id"), None, 0
+        cold = needed.drop("eqp_id")
+        heat = Heat(cold, None, 0)
     else:
         few = broadcast_if_small(suspects, settings.broadcast_rows)
         looked_at = needed.join(few, "eqp_id", "left_semi").drop("eqp_id")
         heat = split_by_heat(looked_at, keys, settings.hot_rows)
         rest = needed.join(few, "eqp_id", "left_anti").drop("eqp_id")
-        cold, hot, largest = rest.unionByName(heat.cold), heat.hot, heat.largest
+        cold = rest.unionByName(heat.cold)
 
     stats = _cold_stats(cold, keys, settings, spread, wanted)
-    if hot is not None:
-        accuracy = sketch_accuracy(settings.hot_rows, largest)
-        hot = stored(
-            hot.select(*cold.columns), hot_root or scratch_table(hot.sparkSession, "hot_rows")
-        )
-        stats = stats.unionByName(_hot_stats(hot, keys, settings, spread, wanted, accuracy))
+    if heat.hot is not None:
+        path = hot_root or scratch_table(readings.sparkSession, "hot_rows")
+        hot = stored(heat.hot.select(*cold.columns), path)
+        stats = stats.unionByName(_hot_stats(hot, keys, settings, spread, wanted, heat))
     return stats.where(F.col("n_points") >= settings.min_points).select(
         *keys,
         "n_points",

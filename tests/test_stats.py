@@ -116,6 +116,19 @@ def test_large_groups_give_the_same_numbers(skewed, hot_rows):
             assert other == value or other == pytest.approx(value, rel=1e-12), (spec, name)
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_many_large_groups(skewed, monkeypatch, limit):
+    """Keys of large groups as a table, with and without a broadcast of it."""
+    monkeypatch.setattr(heat, "MAX_LISTED_GROUPS", 2)
+    monkeypatch.setattr(heat, "MAX_BROADCAST_GROUPS", limit)
+    assert heat.split_by_heat(skewed, ["spec_id"], 20).few == (limit > 0)
+    split = stats.spec_stats(skewed, settings=replace(ALL, hot_rows=20), spread=True).collect()
+    plain = stats.spec_stats(skewed, settings=ALL, spread=True).collect()
+    assert {(r.spec_id, r.n_points, r.median, r.mad, r.upper_spec) for r in split} == {
+        (r.spec_id, r.n_points, r.median, r.mad, r.upper_spec) for r in plain
+    }
+
+
 def test_large_group_bounds(skewed):
     plain = {r.spec_id: r for r in stats.outlier_bounds(skewed).collect()}
     split = stats.outlier_bounds(skewed, settings=replace(ALL, hot_rows=100)).collect()
