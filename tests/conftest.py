@@ -15,6 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(8, "tests")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
