@@ -16,7 +16,7 @@ from limitlens.operators.verdict import calculations, confirm
 from limitlens.sinks.tables import publish_report
 from limitlens.sources.reports import prior_week_fails
 from limitlens.sources.tables import read_table
-from limitlens.storage import drop_folder, scratch_table
+from limitlens.storage import drop_folder, partition_values, scratch_table
 
 
 def work_weeks(calendar: DataFrame, end: date) -> tuple[str, str]:
@@ -72,13 +72,18 @@ def run(
     exclusions: DataFrame | None = None,
     replace: bool = True,
 ) -> str:
-    """Publish the report of the run date's work week; returns the week."""
+    """Publish the report of the run date's work week; returns the week.
+
+    With ``replace=False`` a week that is already published is not calculated again.
+    """
     week, previous = work_weeks(calendar, end)
+    if not replace and week in partition_values(spark, report_root, "week"):
+        return week
     hot_root = scratch_table(spark, "hot_rows")
     report = build(
         spark, catalog, root, manifest_root, report_root, previous, end, settings, exclusions,
         hot_root,
     )
-    publish_report(report, report_root, week, replace)
+    publish_report(report, report_root, week)
     drop_folder(spark, hot_root)
     return week

@@ -490,7 +490,7 @@ def compact_chunks(spark, sf_dir):
     rows.withColumn("chunk_idx", F.pmod(F.xxhash64("spec_id"), F.lit(3)).cast("int")).write.partitionBy(
         "chunk_idx"
     ).parquet(source)
-    return sinks.compact_chunks(spark.read.parquet(source), staged, final)
+    return sinks.compact_chunks(spark, source, staged, final)
 
 
 @query

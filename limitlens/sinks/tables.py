@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from limitlens import schemas
-from limitlens.storage import drop_partitions, partition_values, replace_folder
+from limitlens.storage import drop_folder, drop_partitions, partition_values, replace_folder
 
 ROWS_PER_FILE = 20_000_000
 
@@ -68,14 +68,15 @@ def append_run_log(log: DataFrame, root: str, kind: str = "parquet") -> None:
     log.select(*columns).write.mode("append").format(kind).option("header", True).save(root)
 
 
-def compact_chunks(chunks: DataFrame, staging: str, final: str, drop: str = "chunk_idx") -> DataFrame:
-    """Rewrite many chunk files as few files per tool and put the result in place.
+def compact_chunks(
+    spark: SparkSession, source: str, staging: str, final: str, drop: str = "chunk_idx"
+) -> DataFrame:
+    """Rewrite the chunk files under ``source`` as few large files, sorted by tool, at ``final``.
 
     The result is written beside its target and moved only when its row count agrees with the
-    input's, so an interrupted run loses nothing. Returns rows per tool before and after.
+    input's; the chunks are deleted last, so an interrupted run loses nothing.
     """
-    spark = chunks.sparkSession
-    rows = chunks.drop(drop)
+    rows = spark.read.parquet(source).drop(drop)
     rows.hint("rebalance", F.col("eqp_id")).sortWithinPartitions(
         "eqp_id", "spec_id", "act_time"
     ).write.option("compression", "zstd").option("maxRecordsPerFile", ROWS_PER_FILE).mode(
@@ -85,10 +86,11 @@ def compact_chunks(chunks: DataFrame, staging: str, final: str, drop: str = "chu
     if written.count() != rows.count():
         raise ValueError(f"compaction of {staging} lost rows; the chunks are kept")
     replace_folder(spark, staging, final)
+    drop_folder(spark, source)
     return spark.read.schema(rows.schema).parquet(final)
 
 
-def purge_expired_days(spark, root: str, oldest_kept: str) -> int:
+def purge_expired_days(spark: SparkSession, root: str, oldest_kept: str) -> int:
     """Drop day partitions older than ``oldest_kept`` (yyyy-MM-dd); returns how many."""
     days = partition_values(spark, root, "d")
     return drop_partitions(spark, root, "d", [d for d in days if d < oldest_kept])

@@ -1,6 +1,7 @@
 """Sinks and the three weekly jobs from end to end."""
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from conftest import SF_DIR, rows_of
@@ -16,7 +17,7 @@ from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
 from limitlens.sources.reports import prior_week_fails, report_week
 from limitlens.sources.tables import read_files, read_run_log, read_table, renamed, stored_files
-from limitlens.storage import scratch_table
+from limitlens.storage import path_exists, scratch_table, shared_folder
 
 
 @pytest.fixture
@@ -52,8 +53,9 @@ def test_compaction_keeps_every_row(spark, make_readings, tmp_path):
     readings = make_readings([(f"t{i % 5}", f"t{i % 5}-1", float(i), f"2024-01-{1 + i % 9:02d}T00:00:00") for i in range(200)])
     readings.withColumn("chunk_idx", F.col("reading_id") % 20).repartition(20).write.partitionBy("chunk_idx").parquet(source)
     before = stored_files(spark, source).count()
-    found = sinks.compact_chunks(spark.read.parquet(source), staged, final)
+    found = sinks.compact_chunks(spark, source, staged, final)
     assert rows_of(found.select("reading_id", "param_value")) == rows_of(readings.select("reading_id", "param_value"))
+    assert not path_exists(spark, source) and not path_exists(spark, staged)
     files = [r.file_path for r in stored_files(spark, final).collect()]
     assert len(files) < before
     assert read_files(spark, files, schemas.READINGS).count() == 200
@@ -72,8 +74,6 @@ def test_missing_columns_read_as_null(spark, tmp_path):
 
 
 def test_scratch_is_on_the_shared_folder(spark):
-    from limitlens.storage import shared_folder
-
     first, second = scratch_table(spark, "x"), scratch_table(spark, "x")
     assert first != second and first.startswith(shared_folder(spark))
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -154,6 +154,21 @@ def test_two_weeks(spark, spec_sources, tmp_path):
     assert rows_of(report_week(spark, roots.report, "2024-05")) == before
 
 
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+
+
+def test_published_week_is_not_calculated_again(spark, small_report, tmp_path):
+    root = str(tmp_path / "report")
+    calendar = build_calendar(spark.createDataFrame([(date(2024, 1, 1), date(2024, 1, 5))], "first_day DATE, last_day DATE"))
+    sinks.publish_report(small_report, root, "2024-01")
+    found = report_stage.run(spark, None, calendar, "nowhere", "nowhere", root, date(2024, 1, 3), replace=False)
+    assert found == "2024-01" and report_week(spark, root, "2024-01").count() == 2
+
+
 def test_calendar_must_cover_the_run_date(spark):
     calendar = build_calendar(spark.createDataFrame([(date(2024, 1, 1), date(2024, 1, 5))], "first_day DATE, last_day DATE"))
     assert report_stage.work_weeks(calendar, date(2024, 1, 3)) == ("2024-01", "")
