@@ -152,6 +152,21 @@ def test_next_run_completes_the_open_day(spark, make_readings, catalog, roots):
     assert min(d for _, d, *_ in entries(spark, roots[1])) == END
 
 
+def test_source_without_readings(spark, make_readings, catalog, roots):
+    result = refresh_window(make_readings([]), catalog, *roots, END, THREE)
+    assert (result.planned_tool_days, result.rows_written) == (9, 0)
+    assert stored(spark, roots[0]) == [] and len(entries(spark, roots[1])) == 9
+    # Closed empty days are not asked for again; the open day is, and its rows arrive.
+    later = refresh_window(make_readings(source_rows(10)), catalog, *roots, END, THREE)
+    assert later.days == [END] and later.rows_written == 2
+
+
+def test_catalog_without_tools(spark, make_readings, catalog, roots):
+    nothing = catalog.where("false")
+    result = refresh_window(make_readings(source_rows(10)), nothing, *roots, END, THREE)
+    assert (result.planned_tool_days, result.skipped_tool_days, result.days) == (0, 0, [])
+
+
 def test_new_tool_keeps_the_cached_rows_of_others(spark, make_readings, make_catalog, catalog, roots):
     source = make_readings(source_rows(10))
     end = date(2024, 1, 11)  # all days closed but the last
