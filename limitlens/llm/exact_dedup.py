@@ -48,7 +48,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     raw = b"".join(batch.column("digest").to_pylist())
-    words = np.frombuffer(raw, ">u8").reshape(-1, 4)
+    words = np.frombuffer(raw, np.uint64).reshape(-1, 4)
     names = ("run", "n_bytes", "proof", "first", "copies")
     return (words, *[batch.column(n).to_numpy(zero_copy_only=False) for n in names])
 

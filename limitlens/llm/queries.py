@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from limitlens.llm.bpe import round_trip
+from limitlens.llm.direct_codes import stored_ids
 from limitlens.llm.exact_dedup import exact_duplicates
 from limitlens.llm.packing import pack
 from limitlens.llm.tables import table
@@ -42,3 +44,13 @@ FROM texts
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_ids(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))

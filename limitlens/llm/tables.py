@@ -26,14 +26,16 @@ def keep(df: DataFrame, name: str) -> DataFrame:
 def partitions_of(df: DataFrame) -> int:
     """How many tasks a shuffle of the whole table needs.
 
-    As many as the scan has splits by the optimizer's size estimate (no job is run), and never
-    fewer than ordinary shuffles use.
+    As many as its scans have splits by the optimizer's size estimate (no job is run), and never
+    fewer than ordinary shuffles use. A source of unknown size counts as nothing.
     """
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    conf = spark._jsparkSession.sessionState().conf()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length())]
+    size = sum(s for s in sizes if s < conf.defaultSizeInBytes())
     ordinary = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(ordinary, min(100_000, math.ceil(size / split)))
+    return max(ordinary, min(100_000, math.ceil(size / conf.filesMaxPartitionBytes())))
 
 
 def held_out(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
