@@ -10,7 +10,11 @@ from limitlens.llm.bpe import round_trip
 from limitlens.llm.direct_codes import stored_ids
 from limitlens.llm.exact_dedup import exact_duplicates
 from limitlens.llm.packing import pack
+from limitlens.llm.quality import quality
+from limitlens.llm.syncmers import fingerprints
 from limitlens.llm.tables import table
+from limitlens.llm.toxicity import toxicity
+from limitlens.llm.warc import pages_through_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +58,23 @@ def op4_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_through_archives(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
