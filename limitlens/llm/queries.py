@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from limitlens.llm.bpe import round_trip
 from limitlens.llm.direct_codes import stored_ids
 from limitlens.llm.exact_dedup import exact_duplicates
+from limitlens.llm.near_dup import near_duplicates
 from limitlens.llm.packing import pack
 from limitlens.llm.quality import quality
 from limitlens.llm.syncmers import fingerprints
@@ -78,3 +79,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
