@@ -11,6 +11,7 @@ from limitlens.llm.direct_codes import stored_ids
 from limitlens.llm.exact_dedup import exact_duplicates
 from limitlens.llm.near_dup import near_duplicates
 from limitlens.llm.packing import pack
+from limitlens.llm.pii import personal_data
 from limitlens.llm.quality import quality
 from limitlens.llm.syncmers import fingerprints
 from limitlens.llm.tables import table
@@ -84,3 +85,8 @@ def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))

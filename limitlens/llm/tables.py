@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,8 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Scratch tables of the running stage, when somebody listens; see :func:`recorded`.
+_MADE: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    return scratch_table(spark, f"llm-{name}")
+    path = scratch_table(spark, f"llm-{name}")
+    for paths in _MADE:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the scratch tables made inside the block, for their removal later."""
+    paths: list[str] = []
+    _MADE.append(paths)
+    try:
+        yield paths
+    finally:
+        _MADE.remove(paths)
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from limitlens.llm.tables import held_out, keep, whole_text
 
@@ -197,12 +198,10 @@ class ToxicityModel:
     def features(self, docs: DataFrame) -> DataFrame:
         """``docs`` with its columns and the feature columns; needs ``_text``, which goes."""
         columns = [f for f in docs.schema.fields if f.name != "_text"]
-        named = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-        extra = ", ".join(f"`_f_{f}` double" for f in FEATURES)
-        made = docs.mapInArrow(
-            _add_features(self.terms, [f.name for f in columns]), f"{named}, {extra}" if named else extra
-        )
-        return VectorAssembler(inputCols=[f"_f_{f}" for f in FEATURES], outputCol="_features").transform(made)
+        names = [f"_f_{f}" for f in FEATURES]
+        schema = StructType([*columns, *[StructField(n, DoubleType()) for n in names]])
+        made = docs.mapInArrow(_add_features(self.terms, [f.name for f in columns]), schema)
+        return VectorAssembler(inputCols=names, outputCol="_features").transform(made)
 
     def score(self, docs: DataFrame) -> DataFrame:
         """``docs`` without ``_text`` and with ``_score``."""
@@ -214,6 +213,7 @@ class ToxicityModel:
         if self.calibration is None:
             return scored.select(*names, raw.alias("_score"))
         scored = self.calibration.transform(scored.withColumn("_raw", raw))
+        raw = F.col("_raw")
         # Inside a calibrated step the raw probability still orders documents, by a hair.
         score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), 0.999 * F.col("_calibrated") + 0.001 * raw))
         return scored.select(*names, score.alias("_score"))
