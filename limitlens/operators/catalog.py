@@ -34,17 +34,22 @@ def decode_pattern(code: Column) -> Column:
 
 
 def distinct_specs(
-    catalog: DataFrame, latest_first: Sequence[str] = ("last_used", "process_unit"), key: str = "spec_id"
+    catalog: DataFrame,
+    latest_first: Sequence[str] = ("last_used", "process_unit"),
+    key: str | Sequence[str] = "spec_id",
 ) -> DataFrame:
-    """One row per spec: the greatest by ``latest_first``, then by the other columns in order.
+    """One row per key: the greatest by ``latest_first``, then by the other columns in order.
 
     ``max`` of a struct combines on the map side, so a spec registered many times is no hot key.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     lead = list(latest_first)
-    rest = [c for c in catalog.columns if c not in (key, *lead)]
-    kept = catalog.groupBy(key).agg(F.max(F.struct(*lead, *rest)).alias("_row"))
+    rest = [c for c in catalog.columns if c not in (*keys, *lead)]
+    if not lead and not rest:
+        return catalog.select(*keys).distinct()
+    kept = catalog.groupBy(*keys).agg(F.max(F.struct(*lead, *rest)).alias("_row"))
     return kept.select(
-        *[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in catalog.columns]
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in catalog.columns]
     )
 
 
@@ -61,12 +66,11 @@ def assemble_catalog(
 ) -> DataFrame:
     """Join the source tables, keep supported specs, drop double registrations, correct patterns.
 
-    The limits are filtered and cut to one row per spec before the joins: every later filter
-    depends on the spec alone, so the result is the same and the joins carry fewer rows. Tool
-    facts become one table first; if a count shows that it is small, the specs (of which one
+    A registration counts only if its parameter and its tool do; of those that count the newest
+    stays. Every side of a join has one row per key, the greatest where a source repeats it, so
+    no join multiplies specs. If a count shows that the tools are few, the specs (of which one
     tool may own a third) are not shuffled by tool at all.
     """
-    limits = distinct_specs(used_specs(sources.limits, run_date, settings))
     parameters = sources.parameters.where(F.col("grade").isin(*settings.grades)).select(
         "param_id", "unit", "grade", canonical_name(F.col("name")).alias("param_name")
     )
@@ -77,13 +81,21 @@ def assemble_catalog(
         )
         .where(F.col("pattern").isin(*settings.patterns))
     )
+    definitions = distinct_specs(definitions, (), "param_name")
+    parameters = distinct_specs(parameters.join(definitions, "param_name"), (), "param_id")
     tools = sources.tool_config
     if settings.excluded_areas:
         tools = tools.where(~F.col("area").isin(*settings.excluded_areas))
-    tools = tools.join(sources.equipment_names, "eqp_id", "left")
-    catalog = limits.join(parameters.join(definitions, "param_name"), "param_id").join(
-        broadcast_if_small(tools, settings.broadcast_rows), "eqp_id"
+    names = distinct_specs(sources.equipment_names, (), "eqp_id")
+    tools = distinct_specs(tools, (), "eqp_id").join(names, "eqp_id", "left")
+    tools = broadcast_if_small(tools, settings.broadcast_rows)
+    counted = (
+        used_specs(sources.limits, run_date, settings)
+        .join(parameters.select("param_id"), "param_id", "left_semi")
+        .join(tools.select("eqp_id"), "eqp_id", "left_semi")
     )
+    limits = distinct_specs(counted)
+    catalog = limits.join(parameters, "param_id").join(tools, "eqp_id")
     return overlay_patterns(catalog, sources.overrides, settings)
 
 
@@ -125,6 +137,21 @@ def auto_catalog(catalog: DataFrame) -> DataFrame:
     )
 
 
+def typed_catalog(catalog: DataFrame, run_time: str) -> DataFrame:
+    """Fixed and automatic specs in one pass; the same rows as ``union_catalogs`` of the two."""
+    fixed = F.col("range_flag") == "fixed"
+    both = F.col("upper_spec").isNotNull() & F.col("lower_spec").isNotNull()
+    return (
+        catalog.where(F.col("range_flag").isin("fixed", "auto"))
+        .withColumn("upper_spec", F.when(fixed, numeric_limit(F.col("upper_text"))))
+        .withColumn("lower_spec", F.when(fixed, numeric_limit(F.col("lower_text"))))
+        .withColumn("tolerance", F.when(fixed & both, 1).otherwise(0))
+        .withColumn("type", F.col("range_flag"))
+        .withColumn("script_run_time", F.lit(run_time))
+        .drop("range_flag")
+    )
+
+
 def union_catalogs(fixed: DataFrame, auto: DataFrame, run_time: str) -> DataFrame:
     """Both catalogs by column name; columns that one side lacks are NULL there."""
     return fixed.unionByName(auto, allowMissingColumns=True).withColumn(

@@ -37,15 +37,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def split_by_heat(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Heat:
-    """Split off the groups with more than ``hot_rows`` rows.
+def split_by_heat(
+    df: DataFrame, keys: Sequence[str], hot_rows: int, counted: DataFrame | None = None
+) -> Heat:
+    """Split off the groups with more than ``hot_rows`` rows. A group is never cut in two.
 
-    Costs one pass over the key columns, combined on the map side. At most
+    Costs one pass over the key columns of ``counted`` (default: all rows), combined on the map side. At most
     total / hot_rows groups can be large, so the list is usually short and goes through the
     driver; a longer one is kept as a table, and broadcast only if a count allows it.
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    source = df if counted is None else counted
+    sizes = source.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
     listed = sizes.orderBy(F.desc("_rows")).limit(MAX_LISTED_GROUPS + 1).collect()
     if not listed:
         return Heat(df, None, 0)
@@ -67,7 +70,7 @@ def split_by_heat(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Heat:
 def tools_over(manifest: DataFrame, hot_rows: int) -> DataFrame:
     """Tools whose cached days add up to more than ``hot_rows`` readings.
 
-    A spec belongs to one tool, so only these tools can hold a large spec. The manifest
+    Groups are kept by tool and spec, so only these tools can hold a large one. The manifest
     answers this without touching the readings.
     """
     return (

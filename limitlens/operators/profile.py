@@ -19,19 +19,15 @@ def tool_size_profile(readings: DataFrame, tools: DataFrame | None = None) -> Da
     return sizes.orderBy(F.desc("rows"), "eqp_id")
 
 
-def specs_by_tool(catalog: DataFrame, max_list: int = 100_000) -> DataFrame:
-    """Distinct specs of each tool as sorted lists of bounded length.
+def specs_by_tool(catalog: DataFrame) -> DataFrame:
+    """Distinct specs of each tool as one sorted list, whatever the other tools have.
 
-    A tool with more than about ``max_list`` specs gets several rows, told apart by ``part``:
-    no list, and no task's share of one tool, grows with the catalog.
+    A list is as long as its tool's configuration. What has to work on very many specs joins
+    the (tool, spec) rows instead.
     """
-    specs = catalog.select("eqp_id", "spec_id").distinct()
-    biggest = specs.groupBy("eqp_id").count().agg(F.max("count")).first()[0] or 0
-    parts = -(-biggest // max_list) or 1
-    part = F.pmod(F.xxhash64("spec_id"), F.lit(parts)).cast("int")
     return (
-        specs.groupBy("eqp_id", part.alias("part"))
-        .agg(F.sort_array(F.collect_list("spec_id")).alias("spec_ids"))
+        catalog.groupBy("eqp_id")
+        .agg(F.sort_array(F.collect_set("spec_id")).alias("spec_ids"))
         .withColumn("n_specs", F.size("spec_ids"))
     )
 

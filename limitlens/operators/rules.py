@@ -46,6 +46,7 @@ def suppression_reason(settings: Settings, carved_out: Column) -> Column:
         F.when(F.col("std").isNull() | (F.col("std") <= settings.min_std), "flatlined")
         .when(F.col("n_points") < settings.few_points_floor, "too_few_points")
         .when(carved_out, "carve_out")
+        .when(F.col("upper_spec").isNull() | F.col("lower_spec").isNull(), "no_limits")
     )
 
 

@@ -42,9 +42,17 @@ def run_log_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def failed_units(log: DataFrame) -> DataFrame:
-    """Units to run again: those whose last attempt failed."""
+    """Units to run again: those whose last attempt failed.
+
+    The last attempt is that of the latest run, and of its attempts the one with the highest
+    number. Where a log has no attempt numbers, a success beats a failure of the same time.
+    """
+    attempt = F.col("attempt") if "attempt" in log.columns else F.lit(None).cast("int")
+    order = F.struct(
+        F.col("timestamp"), F.coalesce(attempt, F.lit(0)), (F.col("status") != "failed").cast("int"), "stage", "error"
+    )
     last = log.groupBy("eqp_id", "d").agg(
-        F.max_by(F.struct("status", "stage", "error"), "timestamp").alias("_last")
+        F.max_by(F.struct("status", "stage", "error"), order).alias("_last")
     )
     return last.where(F.col("_last.status") == "failed").select(
         "eqp_id", "d", F.col("_last.stage"), F.col("_last.error")

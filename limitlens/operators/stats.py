@@ -1,4 +1,4 @@
-"""Per-spec statistics with robust outlier rejection.
+"""Statistics per tool and spec with robust outlier rejection.
 
 Groups of ordinary size share one shuffle and one sort: the fences, the survivors' spread
 and the final aggregate all run over the same partitioning. Large groups are never brought
@@ -9,6 +9,7 @@ the same numbers.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -17,7 +18,7 @@ from limitlens.functions.quantiles import large_group_quantiles, sketch_accuracy
 from limitlens.operators.heat import Heat, broadcast_if_small, split_by_heat
 from limitlens.storage import scratch_table, stored
 
-SPEC = ("spec_id",)
+SPEC = ("eqp_id", "spec_id")
 _QUARTILES = (0.25, 0.75)
 _SPREAD = (TAIL_LOW, 0.5, TAIL_HIGH)
 _VALUE = "param_value"
@@ -71,30 +72,39 @@ def outlier_bounds(
     )
 
 
-def _newest_limits() -> Column:
-    """Both limits from the one newest reading; ``reading_id`` settles equal times."""
-    return F.max_by(
-        F.struct("upper_spec", "lower_spec"), F.struct("act_time", "reading_id")
-    ).alias("_limits")
+def _newest() -> Column:
+    """Order of the readings as one number, time first and then ``reading_id``.
+
+    Unlike a struct, a decimal lets the newest reading be found by a hash aggregate, so the
+    readings are not sorted for it.
+    """
+    micros = F.unix_micros(F.col("act_time").cast("timestamp"))
+    first = F.coalesce(micros, F.lit(-(1 << 62))).cast("decimal(19,0)")
+    tie = F.coalesce("reading_id", F.lit(-(1 << 63))).cast("decimal(19,0)")
+    return (first * F.lit(Decimal(10**19)) + tie).cast("decimal(38,0)")
+
+
+def _newest_limits() -> list[Column]:
+    """Both limits from the one newest reading."""
+    return [
+        F.max_by(limit, "_newest").alias(limit) for limit in ("upper_spec", "lower_spec")
+    ]
 
 
 def latest_limits(readings: DataFrame, keys: Sequence[str] = SPEC) -> DataFrame:
     """The limits on the newest reading of each key."""
-    return (
-        readings.groupBy(*keys)
-        .agg(_newest_limits())
-        .select(*keys, F.col("_limits.upper_spec"), F.col("_limits.lower_spec"))
-    )
+    ordered = readings.withColumn("_newest", _newest())
+    return ordered.groupBy(*keys).agg(*_newest_limits())
 
 
 def _aggregate(survivors: DataFrame, keys: list[str], extra: list[Column]) -> DataFrame:
-    return survivors.groupBy(*keys).agg(
+    return survivors.withColumn("_newest", _newest()).groupBy(*keys).agg(
         F.count("*").alias("n_points"),
         F.avg(_VALUE).alias("mean"),
         F.stddev_samp(_VALUE).alias("std"),
         F.first("lower_bound").alias("lower_bound"),
         F.first("upper_bound").alias("upper_bound"),
-        _newest_limits(),
+        *_newest_limits(),
         *extra,
     )
 
@@ -174,20 +184,18 @@ def spec_stats(
     wanted = F.lit(True) if spread_where is None else spread_where
     needed = usable_readings(readings, keys).select(
         *keys, _VALUE, "act_time", "reading_id", "upper_spec", "lower_spec",
-        *([] if suspects is None else ["eqp_id"]),
+        *([] if suspects is None or "eqp_id" in keys else ["eqp_id"]),
     )
     if suspects is None:
         heat = split_by_heat(needed, keys, settings.hot_rows)
-        cold = heat.cold
     elif suspects.isEmpty():
-        cold = needed.drop("eqp_id")
-        heat = Heat(cold, None, 0)
+        heat = Heat(needed, None, 0)
     else:
         few = broadcast_if_small(suspects, settings.broadcast_rows)
-        looked_at = needed.join(few, "eqp_id", "left_semi").drop("eqp_id")
-        heat = split_by_heat(looked_at, keys, settings.hot_rows)
-        rest = needed.join(few, "eqp_id", "left_anti").drop("eqp_id")
-        cold = rest.unionByName(heat.cold)
+        heat = split_by_heat(
+            needed, keys, settings.hot_rows, needed.join(few, "eqp_id", "left_semi")
+        )
+    cold = heat.cold
 
     stats = _cold_stats(cold, keys, settings, spread, wanted)
     if heat.hot is not None:
@@ -202,7 +210,7 @@ def spec_stats(
         F.try_divide("std", "mean").alias("cv"),
         "lower_bound",
         "upper_bound",
-        F.col("_limits.upper_spec"),
-        F.col("_limits.lower_spec"),
+        "upper_spec",
+        "lower_spec",
         *([*_spread_columns(), F.col("mad")] if spread else []),
     )

@@ -15,7 +15,7 @@ from limitlens.operators.stats import SPEC, spec_stats
 CURRENT, PRIOR = 0, 1
 
 REPORT_DETAILS = (
-    "eqp_id", "pattern", "grade", "n_points", "mean", "std", "cv", "upper_spec", "lower_spec",
+    "pattern", "grade", "n_points", "mean", "std", "cv", "upper_spec", "lower_spec",
     "ucl", "lcl", "sigma_ratio", "relative_ratio", "suppress_reason", "cww_fail",
 )
 
@@ -30,9 +30,10 @@ def calculations(
     suspects: DataFrame | None = None,
     hot_root: str | None = None,
 ) -> DataFrame:
-    """Statistics, catalog join, control limits and verdict for every spec at once.
+    """Statistics, catalog join, control limits and verdict for every tool and spec at once.
 
-    The catalog is cut to one row per spec first, so the join cannot multiply rows.
+    The catalog is cut to one row per tool and spec first, so the join cannot multiply rows. A
+    spec that several tools read has a verdict for each.
     """
     stats = spec_stats(
         readings,
@@ -45,9 +46,9 @@ def calculations(
     )
     supported = catalog.where(F.col("pattern").isin(*settings.patterns))
     specs = distinct_specs(
-        supported.select("spec_id", "eqp_id", "pattern", "grade"), latest_first=()
+        supported.select("eqp_id", "spec_id", "pattern", "grade"), (), SPEC
     )
-    return with_verdict(with_control_limits(stats.join(specs, "spec_id")), settings, exclusions)
+    return with_verdict(with_control_limits(stats.join(specs, list(SPEC))), settings, exclusions)
 
 
 def in_windows(readings: DataFrame, windows: Mapping[int, tuple[str, str]], day: str = "d") -> DataFrame:
@@ -72,14 +73,13 @@ def in_windows(readings: DataFrame, windows: Mapping[int, tuple[str, str]], day:
 
 
 def prior_flags(verdicts: DataFrame) -> DataFrame:
-    """One flag per spec from an earlier week's verdicts; repeated specs take the worst."""
-    return verdicts.groupBy("spec_id").agg(F.max("cww_fail").cast("int").alias("fail_flag"))
+    """One flag per tool and spec from an earlier week's verdicts; repeated ones take the worst."""
+    return verdicts.groupBy(*SPEC).agg(F.max("cww_fail").cast("int").alias("fail_flag"))
 
 
 def _confirmed() -> Column:
-    both = (F.col("cww_fail") == 1) & (F.col("pww_fail") == 1)
-    first_time = (F.col("cww_fail") == 1) & (F.col("pww_fail") == 0)
-    return F.when(both, 1).when(first_time, 0).otherwise(F.col("cww_fail"))
+    # A fail counts as the week before did; anything else stays what it is.
+    return F.when(F.col("cww_fail") == 1, F.col("pww_fail")).otherwise(F.col("cww_fail"))
 
 
 def confirm(current: DataFrame, prior: DataFrame | None) -> DataFrame:
@@ -88,7 +88,7 @@ def confirm(current: DataFrame, prior: DataFrame | None) -> DataFrame:
         flagged = current.withColumn("pww_fail", F.lit(0))
     else:
         flagged = (
-            current.join(prior.select("spec_id", "fail_flag"), "spec_id", "left")
+            current.join(prior.select(*SPEC, "fail_flag"), list(SPEC), "left")
             .withColumn("pww_fail", F.coalesce("fail_flag", F.lit(0)))
             .drop("fail_flag")
         )
@@ -96,15 +96,15 @@ def confirm(current: DataFrame, prior: DataFrame | None) -> DataFrame:
 
 
 def confirm_windows(verdicts: DataFrame) -> DataFrame:
-    """As ``confirm``, for verdicts keyed by (window_id, spec_id) from one pass."""
+    """As ``confirm``, for verdicts that carry ``window_id``, from one pass."""
     now = F.col("window_id") == CURRENT
-    paired = verdicts.groupBy("spec_id").agg(
+    paired = verdicts.groupBy(*SPEC).agg(
         F.max(F.when(now, F.struct(*REPORT_DETAILS))).alias("_now"),
         F.coalesce(F.max(F.when(~now, F.col("cww_fail"))), F.lit(0)).alias("pww_fail"),
     )
     return (
         paired.where(F.col("_now").isNotNull())
-        .select("spec_id", "_now.*", "pww_fail")
+        .select(*SPEC, "_now.*", "pww_fail")
         .withColumn("fail", _confirmed())
     )
 
@@ -140,7 +140,7 @@ def weekly_report(
         tagged,
         catalog,
         settings,
-        keys=("window_id", "spec_id"),
+        keys=("window_id", *SPEC),
         exclusions=exclusions,
         spread_where=F.col("window_id") == CURRENT,
     )

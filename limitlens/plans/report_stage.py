@@ -80,10 +80,12 @@ def run(
     if not replace and week in partition_values(spark, report_root, "week"):
         return week
     hot_root = scratch_table(spark, "hot_rows")
-    report = build(
-        spark, catalog, root, manifest_root, report_root, previous, end, settings, exclusions,
-        hot_root,
-    )
-    publish_report(report, report_root, week)
-    drop_folder(spark, hot_root)
+    try:
+        report = build(
+            spark, catalog, root, manifest_root, report_root, previous, end, settings, exclusions,
+            hot_root,
+        )
+        publish_report(report, report_root, week)
+    finally:
+        drop_folder(spark, hot_root)
     return week

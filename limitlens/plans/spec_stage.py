@@ -8,9 +8,7 @@ from limitlens.config import Settings
 from limitlens.operators.catalog import (
     CatalogSources,
     assemble_catalog,
-    auto_catalog,
-    fixed_catalog,
-    union_catalogs,
+    typed_catalog,
 )
 from limitlens.sinks.tables import write_catalog
 
@@ -18,8 +16,7 @@ from limitlens.sinks.tables import write_catalog
 def build(
     sources: CatalogSources, run_date: Column, run_time: str, settings: Settings = Settings()
 ) -> DataFrame:
-    catalog = assemble_catalog(sources, run_date, settings)
-    return union_catalogs(fixed_catalog(catalog), auto_catalog(catalog), run_time)
+    return typed_catalog(assemble_catalog(sources, run_date, settings), run_time)
 
 
 def run(

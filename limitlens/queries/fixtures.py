@@ -109,7 +109,12 @@ def catalog_sources(spark: SparkSession, sf_dir: str) -> CatalogSources:
         .select(
             F.col("s_suppkey").cast("string").alias("eqp_id"),
             F.col("r_name").alias("area"),
-            F.col("n_name").alias("model"),
+            # Every third tool is configured twice, once for each of its chambers.
+            F.explode(
+                F.when(
+                    F.col("s_suppkey") % 3 == 0, F.array("n_name", F.concat("n_name", F.lit(" B")))
+                ).otherwise(F.array("n_name"))
+            ).alias("model"),
         ),
         equipment_names=supplier.select(
             F.col("s_suppkey").cast("string").alias("eqp_id"), F.col("s_name").alias("eqp_name")
@@ -125,9 +130,13 @@ def catalog_sources(spark: SparkSession, sf_dir: str) -> CatalogSources:
 
 
 def spec_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Limits per (part, supplier), registered per line status as process unit."""
+    """Limits per (part, supplier), registered per line status as process unit.
+
+    Every seventh part's specs are registered again a day later, on another tool and, for even
+    part numbers, under the next parameter; some of these do not count for the catalog.
+    """
     one = F.col("used_count") == 1
-    return (
+    first = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_partkey", "l_suppkey", "l_linestatus")
         .agg(
@@ -139,12 +148,25 @@ def spec_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max(F.ascii("l_returnflag")).alias("_code"),
         )
         .withColumn("_flag", F.chr("_code"))
+        .withColumn(
+            "spec_id",
+            F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")),
+        )
+    )
+    part = F.col("l_partkey")
+    again = first.where(part % 7 == 0).select(
+        (part + F.when(part % 2 == 0, 1).otherwise(0)).alias("l_partkey"),
+        ((part + F.col("l_suppkey")) % 10 + 1).alias("l_suppkey"),
+        F.concat("l_linestatus", F.lit("M")).alias("l_linestatus"),
+        "_hi", "_lo", F.date_add("last_used", 1).alias("last_used"), "used_count", "_code", "_flag",
+        "spec_id",
+    )
+    return (
+        first.unionByName(again)
         .select(
             F.col("l_partkey").alias("param_id"),
             F.col("l_suppkey").cast("string").alias("eqp_id"),
-            F.concat_ws(
-                "-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
-            ).alias("spec_id"),
+            "spec_id",
             F.col("l_linestatus").alias("process_unit"),
             F.when(one & (F.col("_hi") < 10), "n/a")
             .otherwise(F.concat(F.lit(" "), F.col("_hi").cast("int").cast("string")))

@@ -39,27 +39,27 @@ def _stats(name: str, window: str) -> str:
     """CTEs up to ``{name}_stats``: fences, survivors, statistics, spread."""
     return f"""
 {name}_q as (
-  select spec_id, quantile_cont(param_value, 0.25) as q1, quantile_cont(param_value, 0.75) as q3
-  from readings where {window} group by spec_id),
+  select eqp_id, spec_id, quantile_cont(param_value, 0.25) as q1, quantile_cont(param_value, 0.75) as q3
+  from readings where {window} group by eqp_id, spec_id),
 {name}_b as (
   select *, q1 - 1.5 * (q3 - q1) as lower_bound, q3 + 1.5 * (q3 - q1) as upper_bound from {name}_q),
 {name}_in as (
-  select r.*, b.lower_bound, b.upper_bound from readings r join {name}_b b using (spec_id)
+  select r.*, b.lower_bound, b.upper_bound from readings r join {name}_b b using (eqp_id, spec_id)
   where {window} and r.param_value between b.lower_bound and b.upper_bound),
 {name}_s as (
-  select spec_id, count(*) as n_points, avg(param_value) as mean, stddev_samp(param_value) as std,
+  select eqp_id, spec_id, count(*) as n_points, avg(param_value) as mean, stddev_samp(param_value) as std,
          any_value(lower_bound) as lower_bound, any_value(upper_bound) as upper_bound,
          arg_max(upper_spec, (act_time, reading_id)) as upper_spec,
          arg_max(lower_spec, (act_time, reading_id)) as lower_spec,
          quantile_cont(param_value, {TAIL_LOW}) as p_low, median(param_value) as median,
          quantile_cont(param_value, {TAIL_HIGH}) as p_high
-  from {name}_in group by spec_id having count(*) >= 5),
+  from {name}_in group by eqp_id, spec_id having count(*) >= 5),
 {name}_m as (
-  select i.spec_id, median(abs(i.param_value - s.median)) as mad
-  from {name}_in i join {name}_s s using (spec_id) group by i.spec_id),
+  select i.eqp_id, i.spec_id, median(abs(i.param_value - s.median)) as mad
+  from {name}_in i join {name}_s s using (eqp_id, spec_id) group by i.eqp_id, i.spec_id),
 {name}_stats as (
   select s.*, case when s.mean <> 0 then s.std / s.mean end as cv, m.mad
-  from {name}_s s join {name}_m m using (spec_id))
+  from {name}_s s join {name}_m m using (eqp_id, spec_id))
 """
 
 
@@ -68,7 +68,7 @@ def _verdicts(name: str) -> str:
     robust = f"{3 * MAD_SCALE!r} * mad"
     return f"""
 {name}_r as (
-  select s.*, c.eqp_id, c.pattern, c.grade,
+  select s.*, c.pattern, c.grade,
          (upper_spec - lower_spec) / nullif(std, 0) as sigma_ratio,
          (upper_spec - lower_spec) / nullif(abs(mean), 0) as relative_ratio,
          case pattern when 'PATTERN_A' then mean + 3 * std when 'PATTERN_B' then median + {robust}
@@ -76,7 +76,7 @@ def _verdicts(name: str) -> str:
          case pattern when 'PATTERN_A' then mean - 3 * std when 'PATTERN_B' then median - {robust}
               when 'PATTERN_C' then p_low else 0.0 end as lcl
   from {name}_stats s
-  join (select distinct spec_id, eqp_id, pattern, grade from graded) c using (spec_id)),
+  join (select distinct spec_id, eqp_id, pattern, grade from graded) c using (eqp_id, spec_id)),
 {name}_v as (
   select *, case when std is null or std <= 0 then 'flatlined' end as suppress_reason,
          case when std > 0 and sigma_ratio > 4.0 and relative_ratio > 3.5 then 1 else 0 end as cww_fail
@@ -93,9 +93,7 @@ select c.spec_id, c.eqp_id, c.pattern, c.grade, c.n_points, round(c.mean, 8) as
        round(c.std, 6) as std, round(c.cv, 6) as cv, round(c.upper_spec, 6) as upper_spec,
        round(c.lower_spec, 6) as lower_spec, round(c.ucl, 8) as ucl, round(c.lcl, 8) as lcl,
        c.suppress_reason, c.cww_fail, coalesce(p.cww_fail, 0) as pww_fail,
-       case when c.cww_fail = 1 and coalesce(p.cww_fail, 0) = 1 then 1
-            when c.cww_fail = 1 and coalesce(p.cww_fail, 0) = 0 then 0
-            else c.cww_fail end as fail
+       case when c.cww_fail = 1 and coalesce(p.cww_fail, 0) = 1 then 1 else 0 end as fail
 """
 
 _MANIFEST_BYTES = """
@@ -113,6 +111,12 @@ def _manifest(where: str, run_date: str) -> str:
 
 
 _LIMITS = """
+first_made as (
+  select l_partkey as param_id, l_suppkey as tool,
+         cast(l_partkey as varchar) || '-' || cast(l_suppkey as varchar) as spec_id,
+         l_linestatus as process_unit, max(l_quantity) as hi, min(l_quantity) as lo,
+         cast(max(l_shipdate) as date) as last_used, count(*) as used_count, max(l_returnflag) as flag
+  from lineitem group by l_partkey, l_suppkey, l_linestatus),
 limits as (
   select param_id, eqp_id, spec_id, process_unit,
          case when used_count = 1 and hi < 10 then 'n/a' else ' ' || cast(cast(hi as integer) as varchar) end
@@ -120,22 +124,19 @@ limits as (
          cast(cast(lo as integer) as varchar) as lower_text,
          'F' || flag as limit_formula,
          case when flag = 'A' then 'auto' else 'fixed' end as range_flag, last_used, used_count
-  from (
-    select l_partkey as param_id, cast(l_suppkey as varchar) as eqp_id,
-           cast(l_partkey as varchar) || '-' || cast(l_suppkey as varchar) as spec_id,
-           l_linestatus as process_unit, max(l_quantity) as hi, min(l_quantity) as lo,
-           cast(max(l_shipdate) as date) as last_used, count(*) as used_count, max(l_returnflag) as flag
-    from lineitem group by l_partkey, l_suppkey, l_linestatus))
+  from (select param_id, cast(tool as varchar) as eqp_id, spec_id, process_unit, hi, lo, last_used, used_count, flag
+        from first_made
+        union all
+        select case when param_id % 2 = 0 then param_id + 1 else param_id end,
+               cast((param_id + tool) % 10 + 1 as varchar), spec_id, process_unit || 'M', hi, lo,
+               last_used + 1, used_count, flag
+        from first_made where param_id % 7 = 0))
 """
 
 _CATALOG = f"""
 {_LIMITS},
 used as (
   select * from limits where used_count >= 1 and last_used >= date '2001-11-04' - 1000),
-single as (
-  select * exclude (n) from (
-    select *, row_number() over (partition by spec_id order by last_used desc, process_unit desc) as n
-    from used) where n = 1),
 reported as (
   select p_partkey as param_id, p_brand as unit, 'G' || cast(p_size % 5 + 1 as varchar) as grade,
          upper(replace(p_name, ' ', '_')) || '_' || cast(p_partkey as varchar) as param_name,
@@ -144,14 +145,19 @@ reported as (
            as reported_pattern,
          p_size = 50 as corrected
   from part),
-assembled as (
+registered as (
   select s.*, r.unit, r.grade, r.param_name,
          case when r.corrected then 'PATTERN_A' else r.reported_pattern end as pattern,
-         g.r_name as area, n.n_name as model, u.s_name as eqp_name
-  from single s join reported r using (param_id)
+         g.r_name as area, n.n_name || case when u.s_suppkey % 3 = 0 then ' B' else '' end as model,
+         u.s_name as eqp_name
+  from used s join reported r using (param_id)
   join supplier u on s.eqp_id = cast(u.s_suppkey as varchar)
   join nation n on u.s_nationkey = n.n_nationkey join region g on n.n_regionkey = g.r_regionkey
   where r.grade <> 'G5' and r.reported_pattern <> 'UNSUPPORTED' and g.r_name <> 'MIDDLE EAST'),
+assembled as (
+  select * exclude (n) from (
+    select *, row_number() over (partition by spec_id order by last_used desc, process_unit desc) as n
+    from registered) where n = 1),
 fixed as (
   select * exclude (range_flag, tolerance),
          case when upper_spec is not null and lower_spec is not null then 1 else 0 end as tolerance,
@@ -222,17 +228,17 @@ def _sundays(table: str, column: str) -> str:
 ORACLE: dict[str, str] = {
     "outlier_bounds": f"""
 with {READINGS}, {_stats('c', CURRENT)}
-select spec_id, round(q1, 9) as q1, round(q3, 9) as q3, round(lower_bound, 9) as lower_bound,
+select eqp_id, spec_id, round(q1, 9) as q1, round(q3, 9) as q3, round(lower_bound, 9) as lower_bound,
        round(upper_bound, 9) as upper_bound
 from c_b""",
     "latest_limits": f"""
 with {READINGS}
-select spec_id, upper_spec, lower_spec from (
-  select *, row_number() over (partition by spec_id order by act_time desc, reading_id desc) as n
+select eqp_id, spec_id, upper_spec, lower_spec from (
+  select *, row_number() over (partition by eqp_id, spec_id order by act_time desc, reading_id desc) as n
   from readings where {CURRENT}) where n = 1""",
     "spec_stats": f"""
 with {READINGS}, {_stats('c', CURRENT)}
-select spec_id, n_points, round(mean, 8) as mean, round(std, 6) as std, round(cv, 6) as cv,
+select eqp_id, spec_id, n_points, round(mean, 8) as mean, round(std, 6) as std, round(cv, 6) as cv,
        round(lower_bound, 9) as lower_bound, round(upper_bound, 9) as upper_bound,
        upper_spec, lower_spec, round(p_low, 9) as p_low, round(median, 9) as median,
        round(p_high, 9) as p_high, round(mad, 9) as mad
@@ -260,16 +266,16 @@ select spec_id, n_points, suppress_reason,
 from reasons""",
     "prior_week_fails": f"""
 {_BASE}, {_stats('p', PRIOR)}, {_verdicts('p')}
-select spec_id, cww_fail as fail_flag from p_v""",
+select eqp_id, spec_id, cww_fail as fail_flag from p_v""",
     "weekly_report": f"""
-{_REPORT} {_REPORT_SELECT} from c_v c left join p_v p using (spec_id)""",
+{_REPORT} {_REPORT_SELECT} from c_v c left join p_v p using (eqp_id, spec_id)""",
     "publish_report": f"""
-{_REPORT} {_REPORT_SELECT}, '2024-05' as week from c_v c left join p_v p using (spec_id)""",
+{_REPORT} {_REPORT_SELECT}, '2024-05' as week from c_v c left join p_v p using (eqp_id, spec_id)""",
     "tool_status": f"""
 {_BASE}, {_stats('w', "d >= date '2024-01-28'").replace('>= 5', '>= 3')},
 specs as (
-  select c.eqp_id, count(*) as n from w_stats s
-  join (select distinct spec_id, eqp_id from graded) c using (spec_id) group by c.eqp_id),
+  select s.eqp_id, count(*) as n from w_stats s
+  join (select distinct spec_id, eqp_id from graded) c using (eqp_id, spec_id) group by s.eqp_id),
 sizes as (select eqp_id, count(*) as n from readings where d >= date '2024-01-28' group by eqp_id)
 select t.eqp_id, coalesce(z.n, 0) as rows, coalesce(s.n, 0) as specs,
        case when z.n is null then 'no data' when s.n is null then 'no calculations' else 'calculated' end
@@ -365,7 +371,7 @@ where {CURRENT} and exists (
   select 1 from registrations c where c.spec_id = r.spec_id and c.eqp_id = r.eqp_id and c.grade <> 'G5')""",
     "specs_by_tool": f"""
 {_BASE}
-select eqp_id, 0 as part, string_agg('''' || spec_id || '''', ',' order by spec_id) as spec_ids,
+select eqp_id, string_agg('''' || spec_id || '''', ',' order by spec_id) as spec_ids,
        cast(count(*) as integer) as n_specs
 from (select distinct eqp_id, spec_id from registrations) group by eqp_id""",
     "rows_per_spec": f"with {READINGS} select spec_id, count(*) as rows from readings group by spec_id",
@@ -430,3 +436,34 @@ from (select distinct eqp_id from graded) t cross join days
 left join content c on c.eqp_id = t.eqp_id and c.d = days.d""",
     "compact_chunks": f"with {READINGS} select * from readings",
 }
+
+# Queries whose results must not depend on the size of a group or on a run before.
+_SHARED = _REPORT.replace(
+    "cast(user_id as varchar) || '-' || event_type as spec_id",
+    "'S-' || cast(user_id // 3 as varchar) || '-' || event_type as spec_id",
+)
+ORACLE |= {
+    "large_spec_stats": ORACLE["spec_stats"],
+    "large_weekly_report": ORACLE["weekly_report"],
+    "shared_spec_report": f"""
+{_SHARED} {_REPORT_SELECT} from c_v c left join p_v p using (eqp_id, spec_id)""",
+    "publish_twice": f"""
+{_CURRENT_V}
+select eqp_id, spec_id, cww_fail, '2024-05' as week from c_v where cww_fail = 1""",
+    "catalog_republish": f"""
+with {_CATALOG}
+select eqp_id, spec_id, pattern, grade, upper_spec, lower_spec, tolerance, type from fixed""",
+    "compact_twice": f"""
+with {READINGS}
+select * from readings
+where case when eqp_id::bigint % 3 = 0 then processid <> 'error' else eqp_id::bigint % 2 = 1 end""",
+    "purge_window": f"""
+with {READINGS}
+select eqp_id, d, count(*) as rows, max(reading_id) as last_reading
+from readings where d >= date '2024-01-08' group by eqp_id, d""",
+    "retry_failures": f"""
+with {_LOG} select eqp_id, d, stage, error from done where status = 'failed' and day(d) % 2 = 0""",
+    "file_size_profile": f"""
+with {READINGS}
+select distinct 'd=' || cast(d as varchar) as folder, true as has_size from readings""",
+}

@@ -99,10 +99,12 @@ def compliance_verdict(spark, sf_dir):
 @query
 def suppression_reasons(spark, sf_dir):
     settings = replace(fx.SETTINGS, min_std=25.0, few_points_floor=8)
-    specs = catalog.distinct_specs(fx.graded(fx.registrations(spark, sf_dir)), latest_first=())
+    specs = catalog.distinct_specs(
+        fx.graded(fx.registrations(spark, sf_dir)).select("eqp_id", "spec_id", "pattern"), (), stats.SPEC
+    )
     found = stats.spec_stats(_window(spark, sf_dir, verdict.CURRENT), settings=settings)
     judged = with_verdict(
-        found.join(specs.select("spec_id", "pattern"), "spec_id"),
+        found.join(specs, list(stats.SPEC)),
         settings,
         fx.carve_outs(spark, sf_dir),
     )
@@ -340,7 +342,7 @@ def date_helpers(spark, sf_dir):
 
 @query
 def tool_window_scan(spark, sf_dir):
-    """All catalog tools over the last 23 days, sorted by time."""
+    """All catalog tools over the last 23 days, each tool's rows by time."""
     return window_scan(
         fx.readings(spark, sf_dir),
         fx.run_day(),
@@ -360,7 +362,7 @@ def tool_window_scan_lenient(spark, sf_dir):
         old,
         fx.run_day(),
         23,
-        columns=("eqp_id", "create_time", "spec_id", "sensor_name", "sensor_value"),
+        columns=("eqp_id", "spec_id", *schemas.READINGS_OLD_NAMES),
         sort_by="create_time",
         strict=False,
     )
@@ -382,7 +384,7 @@ def readings_filtered(spark, sf_dir):
 @query
 def specs_by_tool(spark, sf_dir):
     found = profile.specs_by_tool(fx.registrations(spark, sf_dir))
-    return found.select("eqp_id", "part", text.quoted_list(F.col("spec_ids")).alias("spec_ids"), "n_specs")
+    return found.select("eqp_id", text.quoted_list(F.col("spec_ids")).alias("spec_ids"), "n_specs")
 
 
 @query
@@ -499,4 +501,112 @@ def file_size_profile(spark, sf_dir):
     root = scratch_table(spark, "readings")
     sinks.write_days(fx.readings(spark, sf_dir), root)
     found = profile.largest_file_per_folder(stored_files(spark, root))
-    return found.select(F.regexp_extract("folder", r"([^/]+)$", 1).alias("folder"), "max_mb")
+    # Sizes depend on the writer; that every day has a file of some size does not.
+    return found.select(
+        F.regexp_extract("folder", r"([^/]+)$", 1).alias("folder"), (F.col("max_mb") > 0).alias("has_size")
+    )
+
+
+# --- what a second run and a large group must not change --------------------------------------
+
+
+# Groups of more than six readings take the path of large groups.
+_ALL_HOT = replace(fx.SETTINGS, hot_rows=6)
+
+
+@query
+def large_spec_stats(spark, sf_dir):
+    """As ``spec_stats``, by the path of large groups; the manifest tells where to look for them."""
+    manifest = cache.day_manifest(fx.readings(spark, sf_dir), fx.run_day())
+    return rounded(
+        stats.spec_stats(
+            _window(spark, sf_dir, verdict.CURRENT),
+            settings=_ALL_HOT,
+            spread=True,
+            suspects=tools_over(manifest, _ALL_HOT.hot_rows),
+        )
+    )
+
+
+@query
+def large_weekly_report(spark, sf_dir):
+    """As ``weekly_report``, by the path of large groups."""
+    found = verdict.weekly_report(
+        fx.readings(spark, sf_dir), fx.graded(fx.registrations(spark, sf_dir)), fx.WINDOWS, _ALL_HOT
+    )
+    return rounded(found.select(*REPORT_COLUMNS))
+
+
+@query
+def shared_spec_report(spark, sf_dir):
+    """The weekly report where three tools read each spec: every tool has its own verdict."""
+    shared = F.concat_ws("-", F.lit("S"), (F.col("eqp_id").cast("long") / 3).cast("long").cast("string"), "_kind")
+    kind = F.regexp_extract("spec_id", "[^-]+$", 0)
+    rows, specs = (
+        df.withColumn("_kind", kind).withColumn("spec_id", shared).drop("_kind")
+        for df in (fx.readings(spark, sf_dir), fx.graded(fx.registrations(spark, sf_dir)))
+    )
+    found = verdict.weekly_report(rows, specs, fx.WINDOWS, replace(fx.SETTINGS, hot_rows=20))
+    return rounded(found.select(*REPORT_COLUMNS))
+
+
+@query
+def publish_twice(spark, sf_dir):
+    """A week published with all rows, then with the fails only; another week, then nothing."""
+    root = scratch_table(spark, "report")
+    report = _report(spark, sf_dir)
+    sinks.publish_report(report, root, "2024-05")
+    sinks.publish_report(report.where("cww_fail = 1"), root, "2024-05")
+    sinks.publish_report(report, root, "2024-06")
+    sinks.publish_report(report.where("false"), root, "2024-06")
+    weeks = report_week(spark, root, "2024-05").unionByName(report_week(spark, root, "2024-06"))
+    return weeks.select("eqp_id", "spec_id", "cww_fail", "week")
+
+
+@query
+def catalog_republish(spark, sf_dir):
+    """The catalog is published again from a source without automatic specs."""
+    root = scratch_table(spark, "catalog")
+    whole = catalog_union(spark, sf_dir)
+    sinks.write_catalog(whole, root)
+    sinks.write_catalog(whole.where("type = 'fixed'"), root)
+    return scan_catalog(spark, root, "fixed").withColumn("type", F.lit("fixed")).unionByName(
+        scan_catalog(spark, root, "auto").withColumn("type", F.lit("auto"))
+    )
+
+
+@query
+def compact_twice(spark, sf_dir):
+    """Chunks of the odd tools, then of every third tool again without errors, into one target."""
+    final = scratch_table(spark, "final")
+    rows = fx.readings(spark, sf_dir)
+    number = F.col("eqp_id").cast("long")
+    parts = (rows.where(number % 2 == 1), rows.where((number % 3 == 0) & (F.col("processid") != "error")))
+    for part in parts:
+        source, staged = scratch_table(spark, "chunks"), scratch_table(spark, "staged")
+        chunk = F.pmod(F.xxhash64("spec_id"), F.lit(3)).cast("int")
+        part.withColumn("chunk_idx", chunk).write.partitionBy("chunk_idx").parquet(source)
+        found = sinks.compact_chunks(spark, source, staged, final)
+    return found
+
+
+@query
+def purge_window(spark, sf_dir):
+    """What is left of the stored readings after the days before 2024-01-08 were dropped."""
+    root = scratch_table(spark, "readings")
+    sinks.write_days(fx.readings(spark, sf_dir), root)
+    sinks.purge_expired_days(spark, root, "2024-01-08")
+    left = read_table(spark, root, schemas.READINGS)
+    return left.groupBy("eqp_id", "d").agg(F.count("*").alias("rows"), F.max("reading_id").alias("last_reading"))
+
+
+@query
+def retry_failures(spark, sf_dir):
+    """Failed units of the odd days are tried again the same day with success; the rest stays failed."""
+    log = fx.unit_log(spark, sf_dir).withColumn("attempt", F.lit(1))
+    again = log.where((F.col("status") == "failed") & (F.dayofmonth("d") % 2 == 1)).select(
+        *[c for c in log.columns if c not in ("status", "attempt", "stage", "error")],
+        F.lit("wrote").alias("status"), F.lit(2).alias("attempt"),
+        F.lit(None).cast("string").alias("stage"), F.lit(None).cast("string").alias("error"),
+    )
+    return run_log.failed_units(again.unionByName(log))

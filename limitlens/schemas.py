@@ -56,7 +56,7 @@ MANIFEST = _schema(
 RUN_LOG = _schema(
     "timestamp STRING, out_name STRING, eqp_id STRING, d DATE, status STRING, est_rows BIGINT, "
     "actual_rows BIGINT, est_over_actual DOUBLE, nbytes_mb DOUBLE, fetch_sec DOUBLE, "
-    "write_sec DOUBLE, total_sec DOUBLE, stage STRING, error STRING"
+    "write_sec DOUBLE, total_sec DOUBLE, stage STRING, error STRING, attempt INT"
 )
 REPORT = _schema(
     "spec_id STRING, eqp_id STRING, pattern STRING, grade STRING, n_points BIGINT, mean DOUBLE, "

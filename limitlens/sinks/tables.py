@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from limitlens import schemas
-from limitlens.storage import drop_folder, drop_partitions, partition_values, replace_folder
+from limitlens.storage import (
+    drop_folder,
+    drop_partitions,
+    partition_values,
+    path_exists,
+    replace_folder,
+)
 
 ROWS_PER_FILE = 20_000_000
 
 
-def _overwrite(df: DataFrame, root: str, by: str, codec: str = "zstd") -> None:
+# Compacted readings are kept in so many tool buckets; a property of the table, not of a run.
+TOOL_BUCKETS = 64
+
+
+def _overwrite(df: DataFrame, root: str, by: str, codec: str = "zstd", owned: Sequence[str] = ()) -> None:
+    """Replace the partitions that ``df`` has rows for, and of the ``owned`` ones also the rest.
+
+    A dynamic overwrite leaves a partition alone that gets no row; if the result owns it, it is
+    dropped after the write, so nothing of a former run stays published.
+    """
+    counted = Observation()
+    if owned:
+        counts = [F.count(F.when(F.col(by) == value, 1)).alias(f"n{i}") for i, value in enumerate(owned)]
+        df = df.observe(counted, *counts)
     (
         df.write.partitionBy(by)
         .option("compression", codec)
@@ -19,6 +40,11 @@ def _overwrite(df: DataFrame, root: str, by: str, codec: str = "zstd") -> None:
         .mode("overwrite")
         .parquet(root)
     )
+    if owned:
+        found = counted.get
+        drop_partitions(
+            df.sparkSession, root, by, [v for i, v in enumerate(owned) if not found.get(f"n{i}")]
+        )
 
 
 def by_day(readings: DataFrame) -> DataFrame:
@@ -42,19 +68,23 @@ def write_manifest(manifest: DataFrame, root: str) -> None:
 
 
 def write_catalog(catalog: DataFrame, root: str) -> None:
-    """Auto and fixed specs as two partitions of one table."""
+    """Auto and fixed specs as two partitions of one table; a type without specs is emptied."""
     known = [c for c in schemas.SPEC_CATALOG.names if c in catalog.columns]
-    _overwrite(catalog.select(*known).hint("rebalance", F.col("type")), root, "type")
+    rows = catalog.select(*known).hint("rebalance", F.col("type"))
+    _overwrite(rows, root, "type", owned=("auto", "fixed"))
 
 
 def publish_report(report: DataFrame, root: str, week: str, replace: bool = True) -> bool:
-    """Write one week of the report. With ``replace=False`` a published week is left alone."""
+    """Write one week of the report; an empty result leaves the week empty.
+
+    With ``replace=False`` a published week is left alone.
+    """
     spark = report.sparkSession
     if not replace and week in partition_values(spark, root, "week"):
         return False
     known = [c for c in schemas.REPORT.names if c in report.columns]
     _overwrite(
-        report.select(*known).withColumn("week", F.lit(week)), root, "week", codec="gzip"
+        report.select(*known).withColumn("week", F.lit(week)), root, "week", "gzip", [week]
     )
     return True
 
@@ -73,21 +103,40 @@ def compact_chunks(
 ) -> DataFrame:
     """Rewrite the chunk files under ``source`` as few large files, sorted by tool, at ``final``.
 
-    The result is written beside its target and moved only when its row count agrees with the
-    input's; the chunks are deleted last, so an interrupted run loses nothing.
+    The tools that have chunks are replaced, all others keep what ``final`` holds of them: only
+    the buckets of those tools are written anew, merged with their other tools' rows. They are
+    written beside the target and moved only when the row counts agree; the chunks are
+    deleted last, so an interrupted run loses nothing.
     """
-    rows = spark.read.parquet(source).drop(drop)
-    rows.hint("rebalance", F.col("eqp_id")).sortWithinPartitions(
-        "eqp_id", "spec_id", "act_time"
-    ).write.option("compression", "zstd").option("maxRecordsPerFile", ROWS_PER_FILE).mode(
-        "overwrite"
-    ).parquet(staging)
-    written = spark.read.schema(rows.schema).parquet(staging)
-    if written.count() != rows.count():
+    bucket = F.pmod(F.xxhash64("eqp_id"), F.lit(TOOL_BUCKETS)).cast("int").alias("b")
+    chunks = spark.read.parquet(source).drop(drop)
+    columns = chunks.columns
+    rows = chunks.select(*columns, bucket)
+    if path_exists(spark, final):
+        tools = rows.select("eqp_id", "b").distinct()
+        before = spark.read.parquet(final).select(*columns, "b")
+        others = before.join(tools.select("b").distinct(), "b", "left_semi").join(
+            tools.select("eqp_id"), "eqp_id", "left_anti"
+        )
+        rows = rows.unionByName(others.select(*rows.columns))
+    counted = Observation()
+    (
+        rows.observe(counted, F.count("*").alias("n"))
+        .hint("rebalance", F.col("b"))
+        .sortWithinPartitions("b", "eqp_id", "spec_id", "act_time")
+        .write.partitionBy("b")
+        .option("compression", "zstd")
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .mode("overwrite")
+        .parquet(staging)
+    )
+    if spark.read.schema(rows.schema).parquet(staging).count() != counted.get["n"]:
         raise ValueError(f"compaction of {staging} lost rows; the chunks are kept")
-    replace_folder(spark, staging, final)
+    for value in partition_values(spark, staging, "b"):
+        replace_folder(spark, f"{staging}/b={value}", f"{final}/b={value}")
+    drop_folder(spark, staging)
     drop_folder(spark, source)
-    return spark.read.schema(rows.schema).parquet(final)
+    return spark.read.schema(rows.schema).parquet(final).select(*columns)
 
 
 def purge_expired_days(spark: SparkSession, root: str, oldest_kept: str) -> int:

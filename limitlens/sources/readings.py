@@ -27,23 +27,23 @@ def tool_window_scan(
     strict: bool = True,
     broadcast_rows: int = 500_000,
 ) -> DataFrame:
-    """Readings of the given tools (default: all) over the window.
+    """Readings of the given tools (default: all) over the window, laid out tool by tool.
 
-    ``strict`` fails on a column that does not exist; otherwise only the existing ones are
-    kept. Days without data simply add no rows. The sort is left out when its column is absent.
+    With ``sort_by`` the rows of a tool's day share a task and are sorted there by tool and that
+    column (if it exists): a consumer reads each tool in order, and no total order over all tools
+    is made. ``strict=False`` leaves out columns that the files lack. Days without data add no rows.
     """
     rows = readings.where(in_window(F.col("d"), end, days))
     if tools is not None:
         wanted = broadcast_if_small(tools.select("eqp_id").distinct(), broadcast_rows)
         rows = rows.join(wanted, "eqp_id", "left_semi")
     kept = list(columns) if strict else [c for c in columns if c in readings.columns]
+    if sort_by is not None and sort_by in kept:
+        rows = rows.repartition("eqp_id", "d").sortWithinPartitions("eqp_id", sort_by)
     if add_partition_date:
         rows = rows.withColumn("partition_date", F.col("d").cast("string"))
         kept.append("partition_date")
-    rows = rows.select(*kept)
-    if sort_by is not None and sort_by in rows.columns:
-        rows = rows.orderBy(sort_by)
-    return rows
+    return rows.select(*kept)
 
 
 def readings_filtered(

@@ -14,7 +14,7 @@ def report_week(spark: SparkSession, root: str, week: str) -> DataFrame:
 
 
 def prior_week_fails(spark: SparkSession, root: str, week: str) -> DataFrame:
-    """(spec_id, fail_flag) of a published week; empty when that week was never published.
+    """(eqp_id, spec_id, fail_flag) of a published week; empty when that week was never published.
 
     The flag is that week's own verdict, not its confirmed one: a confirmed fail needs an
     earlier fail, so nothing could ever become one.

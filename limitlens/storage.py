@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,11 +72,17 @@ def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
 
 
 def drop_partitions(spark: SparkSession, root: str, column: str, values: list[str]) -> int:
-    """Delete partition folders; returns how many existed."""
+    """Delete partition folders; returns how many existed.
+
+    A folder that cannot be deleted does not keep the others: all are tried, each failure warns.
+    """
     dropped = 0
     for value in values:
-        system, target = _file_system(spark, f"{root}/{column}={value}")
-        dropped += bool(system.delete(target, True))
+        path = f"{root}/{column}={value}"
+        try:
+            dropped += bool(drop_folder(spark, path))
+        except Exception as error:  # whatever the file system raises through the gateway
+            warnings.warn(f"{path} was not deleted: {error}", stacklevel=2)
     return dropped
 
 

@@ -1,5 +1,6 @@
 """Catalog assembly, profiles and work units."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -88,8 +89,28 @@ def test_publish_and_scan(sources, spark, tmp_path):
     assert {r.spec_id for r in scan_catalog(spark, root, "auto").collect()} == {"s7"}
     plan = scan.select("spec_id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<spec_id:string>" in plan
-    write_catalog(cat.auto_catalog(cat.assemble_catalog(sources, F.lit(DAY), SETTINGS)), root)
-    assert scan_catalog(spark, root).count() == 3  # the fixed part is untouched
+    catalog = cat.assemble_catalog(sources, F.lit(DAY), SETTINGS)
+    write_catalog(cat.auto_catalog(catalog), root)  # a type without specs is emptied
+    assert scan_catalog(spark, root).isEmpty() and scan_catalog(spark, root, "auto").count() == 1
+    fixed, auto = cat.fixed_catalog(catalog), cat.auto_catalog(catalog)
+    two, one = cat.union_catalogs(fixed, auto, "now"), cat.typed_catalog(catalog, "now")
+    assert sorted(map(str, two.select(one.columns).collect())) == sorted(map(str, one.collect()))
+
+
+def test_a_registration_that_does_not_count_hides_no_other(sources, spark):
+    """The newest registration is on an unknown tool; an older one counts."""
+    first = sources.limits.where("spec_id = 's1'")
+    newer = first.withColumn("eqp_id", F.lit("nowhere")).withColumn("last_used", F.date_add("last_used", 1))
+    twice = replace(
+        sources,
+        limits=sources.limits.unionByName(newer),
+        tool_config=sources.tool_config.unionByName(sources.tool_config.withColumn("model", F.lit("A second one"))),
+        equipment_names=sources.equipment_names.unionByName(sources.equipment_names),
+    )
+    found = cat.assemble_catalog(twice, F.lit(DAY), SETTINGS)
+    assert sorted(r.spec_id for r in found.collect()) == sorted(
+        r.spec_id for r in cat.assemble_catalog(sources, F.lit(DAY), SETTINGS).collect()
+    )
 
 
 def test_load_sources(sources, spark, tmp_path):
@@ -122,12 +143,11 @@ def test_technode(spark):
 # --- profiles -----------------------------------------------------------------------------
 
 
-def test_specs_by_tool_splits_long_lists(make_catalog):
+def test_specs_by_tool_has_one_row_per_tool(make_catalog):
     catalog = make_catalog([("big", f"s{i}", "P", "G1", u) for i in range(50) for u in "xy"] + [("one", "s", "P", "G1", "x")])
     whole = {r.eqp_id: r for r in profile.specs_by_tool(catalog).collect()}
-    assert whole["big"].n_specs == 50 and whole["big"].part == 0 and whole["one"].spec_ids == ["s"]
-    parts = [r for r in profile.specs_by_tool(catalog, max_list=10).collect() if r.eqp_id == "big"]
-    assert len(parts) > 1 and sorted(s for p in parts for s in p.spec_ids) == sorted(whole["big"].spec_ids)
+    assert whole["big"].n_specs == 50 and whole["one"].spec_ids == ["s"]
+    assert whole["big"].spec_ids == sorted(f"s{i}" for i in range(50)) and len(whole) == 2
 
 
 @pytest.mark.parametrize(("n", "chunks"), [(1, 3), (5, 3), (6, 3), (700, 20), (19, 20)])

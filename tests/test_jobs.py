@@ -22,7 +22,7 @@ from limitlens.storage import path_exists, scratch_table, shared_folder
 
 @pytest.fixture
 def small_report(spark):
-    return spark.createDataFrame([("s1", 1), ("s2", 0)], "spec_id STRING, cww_fail INT")
+    return spark.createDataFrame([("e", "s1", 1), ("e", "s2", 0)], "eqp_id STRING, spec_id STRING, cww_fail INT")
 
 
 def test_publish_replaces_only_its_week(spark, small_report, tmp_path):
@@ -34,7 +34,9 @@ def test_publish_replaces_only_its_week(spark, small_report, tmp_path):
     assert report_week(spark, root, "2024-02").count() == 1
     assert sinks.publish_report(small_report, root, "2024-02")
     assert report_week(spark, root, "2024-02").count() == 2
-    assert rows_of(prior_week_fails(spark, root, "2024-01")) == [("s1", 1), ("s2", 0)]
+    assert rows_of(prior_week_fails(spark, root, "2024-01")) == [("e", "s1", 1), ("e", "s2", 0)]
+    assert sinks.publish_report(small_report.where("false"), root, "2024-02")
+    assert report_week(spark, root, "2024-02").isEmpty() and report_week(spark, root, "2024-01").count() == 2
 
 
 @pytest.mark.parametrize("kind", ["parquet", "csv"])
@@ -131,7 +133,7 @@ def test_two_weeks(spark, spec_sources, tmp_path):
 
     names = ["spec_id", "n_points", "cww_fail", "pww_fail", "fail"]
     prior = window("2024-01-01", "2024-01-23")
-    wanted = confirm(window("2024-01-08", "2024-01-30"), prior.select("spec_id", F.col("cww_fail").alias("fail_flag")))
+    wanted = confirm(window("2024-01-08", "2024-01-30"), prior.select("eqp_id", "spec_id", F.col("cww_fail").alias("fail_flag")))
     published = report_week(spark, roots.report, "2024-05")
     assert rows_of(published.select(*names)) == rows_of(wanted.select(*names))
     assert rows_of(report_week(spark, roots.report, "2024-04").select("spec_id", "cww_fail")) == rows_of(

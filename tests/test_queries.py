@@ -27,7 +27,7 @@ def test_query_equals_its_twin(spark, con, name):
 
 def test_every_twin_has_a_query():
     assert set(driver.oracle_sql()) - set(driver.queries()) == set()
-    assert set(QUERIES) - set(ORACLE) == {"file_size_profile"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):

@@ -129,6 +129,26 @@ def test_many_large_groups(skewed, monkeypatch, limit):
     }
 
 
+def test_the_way_a_group_goes_does_not_change_it(make_readings, spark):
+    """One spec on a tool with many and on one with few readings: two rows, however they are split."""
+    rows = [("big", "s", float(i % 10), f"2024-01-01T00:{i % 60:02d}:00") for i in range(60)]
+    rows += [("small", "s", 50.0 + i % 10, f"2024-01-01T01:{i % 60:02d}:00") for i in range(30)]
+    readings = make_readings(rows)
+    suspects = spark.createDataFrame([("big",)], "eqp_id STRING")
+    for settings, among in ((ALL, None), (replace(ALL, hot_rows=50), suspects), (replace(ALL, hot_rows=0), None)):
+        found = stats.spec_stats(readings, settings=settings, spread=True, suspects=among).collect()
+        assert {(r.eqp_id, r.n_points, round(r.mean, 9), r.median) for r in found} == {
+            ("big", 60, 4.5, 4.5), ("small", 30, 54.5, 54.5)
+        }
+
+
+def test_the_newest_reading_is_found_by_hashing(make_readings):
+    readings = make_readings([("e", "s", 1.0, "2024-01-01T00:00:00", 5.0, 1), ("e", "s", 1.0, "2024-01-01T00:00:00", 7.0, 2)])
+    found = stats.latest_limits(readings)
+    assert found.first().upper_spec == 7.0
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_large_group_bounds(skewed):
     plain = {r.spec_id: r for r in stats.outlier_bounds(skewed).collect()}
     split = stats.outlier_bounds(skewed, settings=replace(ALL, hot_rows=100)).collect()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from limitlens.config import Settings
-from limitlens.operators import verdict
+from limitlens.operators import rules, verdict
 from limitlens.operators.rules import with_control_limits, with_verdict
 
 COLUMNS = (
@@ -69,7 +69,7 @@ def test_suppression_order(spark):
 @pytest.fixture
 def current(spark):
     rows = [("both", 1), ("new", 1), ("gone", 0), ("unknown", None), ("nullprior", 1)]
-    return spark.createDataFrame(rows, "spec_id STRING, cww_fail INT")
+    return spark.createDataFrame([("e", *r) for r in rows], "eqp_id STRING, spec_id STRING, cww_fail INT")
 
 
 def flags(df):
@@ -77,10 +77,8 @@ def flags(df):
 
 
 def test_confirmation(spark, current):
-    prior = spark.createDataFrame(
-        [("both", 1), ("new", 0), ("gone", 1), ("nullprior", None), ("elsewhere", 1)],
-        "spec_id STRING, fail_flag INT",
-    )
+    rows = [("e", "both", 1), ("e", "new", 0), ("e", "gone", 1), ("e", "nullprior", None), ("other", "new", 1)]
+    prior = spark.createDataFrame(rows, "eqp_id STRING, spec_id STRING, fail_flag INT")
     assert flags(verdict.confirm(current, prior)) == {
         "both": (1, 1),
         "new": (0, 0),
@@ -91,15 +89,16 @@ def test_confirmation(spark, current):
 
 
 def test_no_prior_week(spark, current):
-    empty = spark.createDataFrame([], "spec_id STRING, fail_flag INT")
+    empty = spark.createDataFrame([], "eqp_id STRING, spec_id STRING, fail_flag INT")
     assert flags(verdict.confirm(current, None)) == flags(verdict.confirm(current, empty))
     assert all(pww == 0 for pww, _ in flags(verdict.confirm(current, None)).values())
 
 
 def test_prior_flags_are_unique(spark):
-    rows = [("a", 0), ("a", 1), ("b", 0), ("c", None)]
-    prior = verdict.prior_flags(spark.createDataFrame(rows, "spec_id STRING, cww_fail INT"))
-    assert {r.spec_id: r.fail_flag for r in prior.collect()} == {"a": 1, "b": 0, "c": None}
+    rows = [("e", "a", 0), ("e", "a", 1), ("f", "a", 0), ("e", "b", 0), ("e", "c", None)]
+    prior = verdict.prior_flags(spark.createDataFrame(rows, "eqp_id STRING, spec_id STRING, cww_fail INT"))
+    found = {(r.eqp_id, r.spec_id): r.fail_flag for r in prior.collect()}
+    assert found == {("e", "a"): 1, ("f", "a"): 0, ("e", "b"): 0, ("e", "c"): None}
 
 
 def test_catalog_join_does_not_multiply(make_readings, make_catalog):
@@ -169,3 +168,12 @@ def test_large_groups_do_not_change_the_report(spark):
         return {r.spec_id: (r.n_points, round(r.ucl, 8), r.suppress_reason, r.fail) for r in found}
 
     assert report(replace(fx.SETTINGS, hot_rows=6)) == report(fx.SETTINGS)
+
+
+def test_missing_limits_are_a_reason_not_a_pass(spark):
+    row = ("s", "PATTERN_A", 9, 10.0, 1.0, None, 1.0)
+    stats = spark.createDataFrame(
+        [row], "spec_id STRING, pattern STRING, n_points BIGINT, mean DOUBLE, std DOUBLE, upper_spec DOUBLE, lower_spec DOUBLE"
+    )
+    found = rules.with_verdict(stats).first()
+    assert (found.suppress_reason, found.cww_fail) == ("no_limits", 0)

@@ -26,7 +26,7 @@ TABLES = "region nation customer supplier part orders lineitem events".split()
 _KINDS = {
     "bigint": ("BIGINT", "NUMBER"), "int": ("INTEGER", "NUMBER"), "double": ("DOUBLE", "NUMBER"),
     "string": ("VARCHAR", "STRING"), "date": ("DATE", "Date"),
-    "timestamp_ntz": ("TIMESTAMP", "DATETIME"),
+    "timestamp_ntz": ("TIMESTAMP", "DATETIME"), "boolean": ("BOOLEAN", "bool"),
 }
 
 
