@@ -19,9 +19,11 @@ def run(
     end: date,
     settings: Settings = Settings(),
     log_root: str | None = None,
+    run_time: str | None = None,
+    attempt: int = 1,
 ) -> RefreshResult:
     oldest = f"{end - timedelta(days=settings.window_days - 1):%Y-%m-%d}"
     spark = source.sparkSession
     purge_expired_days(spark, manifest_root, oldest)
     purge_expired_days(spark, root, oldest)
-    return refresh_window(source, catalog, root, manifest_root, end, settings, log_root)
+    return refresh_window(source, catalog, root, manifest_root, end, settings, log_root, run_time, attempt)

@@ -56,11 +56,14 @@ def _day_counts(days: list[date]) -> list[Column]:
     return [F.count(F.when(F.col("d") == F.lit(d), 1)).alias(f"n_{d:%Y%m%d}") for d in days]
 
 
-def unit_outcomes(plan: DataFrame, stored: DataFrame, broken: list[date], end: date) -> DataFrame:
-    """Run-log rows: what became of each planned tool-day."""
+def unit_outcomes(
+    plan: DataFrame, stored: DataFrame, broken: list[date], run_time: str, attempt: int = 1
+) -> DataFrame:
+    """Run-log rows: what became of each planned tool-day in this attempt of the run."""
     failed = F.col("d").isin(*broken) if broken else F.lit(False)
     return plan.join(stored, ["eqp_id", "d"], "left").select(
-        F.lit(f"{end:%Y-%m-%d}").alias("timestamp"),
+        F.lit(run_time).alias("timestamp"),
+        F.lit(attempt).alias("attempt"),
         F.concat_ws("/", "eqp_id", F.col("d").cast("string")).alias("out_name"),
         "eqp_id",
         "d",
@@ -83,6 +86,8 @@ def refresh_window(
     end: date,
     settings: Settings = Settings(),
     log_root: str | None = None,
+    run_time: str | None = None,
+    attempt: int = 1,
 ) -> RefreshResult:
     """Bring the cache up to date for the window that ends on ``end`` (the run date).
 
@@ -91,7 +96,8 @@ def refresh_window(
     days is taken away first and written last, so a run that dies in between is repeated in
     full by the next one. A day whose stored rows differ from the written rows is dropped and
     stays out of the manifest, which makes the next run fetch it again. With ``log_root`` each
-    planned tool-day adds its outcome to the run log.
+    planned tool-day adds its outcome to the run log, under ``run_time`` (default: the run date)
+    and ``attempt``, so that a repeated run of one day is told apart from the first.
     """
     spark = source.sparkSession
     run_date = F.lit(end)
@@ -156,5 +162,7 @@ def refresh_window(
         entries = entries.where(~F.col("d").isin(*broken))
     write_manifest(entries, manifest_root)
     if log_root is not None:
-        append_run_log(unit_outcomes(plan, stored, broken, end), log_root)
+        append_run_log(
+            unit_outcomes(plan, stored, broken, run_time or f"{end:%Y-%m-%d}", attempt), log_root
+        )
     return RefreshResult(n_planned, n_wanted - n_planned, days, sum(written.values()), broken)
