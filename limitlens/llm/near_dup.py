@@ -23,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from limitlens.llm.tables import keep, text_bytes
 
@@ -35,6 +35,8 @@ _MISS = 1e-9
 _ESTIMATE_SLACK = 5.5  # standard deviations of the estimate
 CACHED = 400_000
 _SLAB = 4096
+# The table of how often shingles are held: at most 2 ** _MOST_BITS entries, summed in _PARTS tasks.
+_MOST_BITS, _PARTS = 22, 16
 
 _FACTORS = [
     0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -251,18 +253,87 @@ def _crossing_links(percent: int):
     return run
 
 
+def _bucket_counts(bits: int):
+    """How many of a task's nodes hold a shingle of each bucket: only the buckets that have any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            for values in batch.column("values"):
+                counts += np.bincount(_bucket(np.frombuffer(values.as_py(), np.uint64), bits), minlength=1 << bits).astype(np.uint32)
+        held = np.flatnonzero(counts).astype(np.uint32)
+        for part in range(_PARTS):
+            own = held[held % _PARTS == part]
+            if len(own):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int32()), pa.array([own.tobytes()], pa.binary()),
+                     pa.array([counts[own].tobytes()], pa.binary())],
+                    ["part", "buckets", "counts"],
+                )
+
+    return run
+
+
+def _bucket(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _sum_counts(bits: int):
+    def run(group: pa.Table) -> pa.Table:
+        counts = np.zeros(1 << bits, np.uint64)
+        for buckets, own in zip(group["buckets"], group["counts"], strict=True):
+            counts[np.frombuffer(buckets.as_py(), np.uint32)] += np.frombuffer(own.as_py(), np.uint32)
+        part = group["part"][0].as_py()
+        mine = np.minimum(counts[part::_PARTS], 65_535).astype(np.uint16)
+        return pa.table({"part": pa.array([part], pa.int32()), "counts": pa.array([mine.tobytes()], pa.binary())})
+
+    return run
+
+
+def _holders(sets: DataFrame, bits: int) -> np.ndarray:
+    """Nodes that hold a shingle of each of ``2 ** bits`` buckets; its size does not grow with the data."""
+    parts = (
+        sets.mapInArrow(_bucket_counts(bits), "part int, buckets binary, counts binary")
+        .groupBy("part").applyInArrow(_sum_counts(bits), "part int, counts binary").collect()
+    )
+    counts = np.zeros(1 << bits, np.uint16)
+    for r in parts:
+        counts[r["part"] :: _PARTS] = np.frombuffer(r["counts"], np.uint16)
+    return counts
+
+
+def _prefixes(holders: np.ndarray, bits: int, percent: int):
+    """A node's rarest shingles: as many as a partner at the threshold cannot avoid.
+
+    Any order that all nodes share is right; this one puts shingles of little held buckets first.
+    Those that no other node can hold use up the prefix and are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, values in zip(batch.column("node"), batch.column("values"), strict=True):
+                own = np.frombuffer(values.as_py(), np.uint64)
+                held = holders[_bucket(own, bits)]
+                room = len(own) - -(-len(own) * percent // 100) + 1
+                first = np.lexsort((own, held))[:room]
+                first = first[held[first] > 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([node.as_py()] * len(first), pa.binary()), pa.array(_signed(own[first]))],
+                    ["node", "value"],
+                )
+
+    return run
+
+
 def _links_of_long_lists(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the nodes of long lists; ``hot``: node, ``sets``: node, values."""
     own = keep(sets.join(hot, "node", "left_semi"), "long-list-sets")
-    shingles = own.mapInArrow(_explode_sets, "node binary, size long, value long")
-    common = shingles.groupBy("value").agg(F.count("*").alias("holders")).where("holders > 1")
-    held = shingles.join(common, "value")
-    by_rarity = Window.partitionBy("node").orderBy("holders", "value")
-    counted = Window.partitionBy("node")
-    # Exact prefix: with a partner at the threshold a node shares percent of its own size.
-    room = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - (F.col("size") - F.count("*").over(counted))
-    rarest = held.select("node", "value", room.alias("room"), F.row_number().over(by_rarity).alias("rank"))
-    entered = keep(rarest.where("rank <= room").select("node", "value"), "long-list-prefixes")
+    rows = own.select(F.sum(F.length("values") / 8)).first()[0] or 0
+    bits = min(_MOST_BITS, max(10, math.ceil(math.log2(4 * rows + 1))))
+    entered = keep(
+        own.mapInArrow(_prefixes(_holders(own, bits), bits, percent), "node binary, value long"),
+        "long-list-prefixes",
+    )
 
     # What shares a list at all hangs together: a star per list, then components of the stars.
     centres = entered.groupBy("value").agg(F.min("node").alias("b"))
@@ -281,17 +352,6 @@ def _links_of_long_lists(hot: DataFrame, sets: DataFrame, percent: int) -> DataF
     return tasks.groupBy("root", "low", "high").applyInArrow(_crossing_links(percent), "a binary, b binary")
 
 
-def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for node, values in zip(batch.column("node"), batch.column("values"), strict=True):
-            found = _signed(np.frombuffer(values.as_py(), np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([node.as_py()] * len(found), pa.binary()),
-                 pa.array(np.full(len(found), len(found), np.int64)), pa.array(found)],
-                ["node", "size", "value"],
-            )
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the nodes of an edge table (a, b), by large-star and small-star rounds.
 
