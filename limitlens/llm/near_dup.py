@@ -260,7 +260,7 @@ def _bucket_counts(bits: int):
         counts = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for values in batch.column("values"):
-                counts += np.bincount(_bucket(np.frombuffer(values.as_py(), np.uint64), bits), minlength=1 << bits).astype(np.uint32)
+                np.add.at(counts, _bucket(np.frombuffer(values.as_py(), np.uint64), bits), 1)
         held = np.flatnonzero(counts).astype(np.uint32)
         for part in range(_PARTS):
             own = held[held % _PARTS == part]
