@@ -32,7 +32,8 @@ LOOKALIKE = r"(?<!\S)[(+]?[A-Za-z0-9][^\s]{5,62}(?!\S)"
 
 ROUNDS, SMOOTHING = 3, 2.0
 CONFIDENCE, LEAST_SEEDS = 0.8, 5
-_CONTEXT = 64
+_CONTEXT, _LONG = 64, 4096
+_WORD = r"[\p{L}\p{N}](?:[^\s\p{Z}]*[\p{L}\p{N}])?"
 _TRIM = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 
 
@@ -91,13 +92,21 @@ def _spans(text: Column, pattern: str) -> Column:
 
 
 def _before(text: Column, start: Column) -> Column:
-    """The words that stand right before a place: lower case, without marks at their ends."""
+    """The last two words before a place: lower case, without marks at their ends.
+
+    Marks alone and any white space between them and the place are passed over. Windows grow until
+    they hold two whole words; of a word longer than _LONG characters its last ones stand for it.
+    """
+
+    def words(size: Column) -> Column:
+        return F.regexp_extract_all(F.lower(F.substring(text, start - size + 1, size)), F.lit(_WORD), F.lit(0))
+
     size = F.least(start, F.lit(_CONTEXT))
-    tail = F.substring(text, start - size + 1, size)
-    words = F.split(F.lower(F.rtrim(tail)), r"\s+")
-    # A word that the window cuts in half is no context.
-    whole = F.when(size == start, words).otherwise(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))))
-    return F.slice(F.transform(whole, lambda w: F.regexp_replace(w, _TRIM, "")), F.greatest(F.size(whole) - 1, F.lit(1)), F.lit(2))
+    # One more than needed: the window may cut the first in half.
+    near = F.transform(F.array(words(size)), lambda w: F.when((F.size(w) > 2) | (size == start), w))[0]
+    far = F.transform(F.array(words(F.least(start, F.lit(_LONG)))), lambda w: F.when(F.size(w) > 0, w))[0]
+    found = F.array(F.coalesce(near, far, words(start)))
+    return F.transform(found, lambda w: F.slice(w, F.greatest(F.size(w) - 1, F.lit(1)), F.lit(2)))[0]
 
 
 def find_base(docs: DataFrame, text: Column) -> DataFrame:
@@ -163,9 +172,9 @@ def _mentions(found: DataFrame) -> DataFrame:
     patterns = F.filter(
         F.array(
             F.when(F.size(words) >= 1, one),
-            F.when((F.size(words) >= 2) & (one != ""), F.concat_ws(" ", words)),
+            F.when(F.size(words) >= 2, F.concat_ws(" ", words)),
         ),
-        lambda p: p.isNotNull() & (p != ""),
+        lambda p: p.isNotNull(),
     )
     return every.select(
         "_row", "s.start", "s.end", "s.kind", "s.value", F.explode(patterns).alias("pattern")

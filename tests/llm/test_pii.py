@@ -79,6 +79,17 @@ def test_contexts_discover_unseen_forms(spark):
     assert all(found[i]["n_added"] == 0 for i in found if i != 20)
 
 
+def test_contexts_reach_over_marks_and_white_space(spark):
+    gaps = ["\n", "\t", " - ", " | ", " # ", " = \n ", " " * 70, "\u00a0"]
+    rows = [(i, f"Some text {i}. Call hotline:{gaps[i % len(gaps)]}+1 (212) 555-{1000 + i} now.") for i in range(40)]
+    rows += [(100 + i, f"Call hotline{gap}212-555-778{i} today") for i, gap in enumerate(gaps)]
+    rows += [(200 + i, f"{'w' * 100} {'v' * 5000}{gap}x 212-555-779{i}") for i, gap in enumerate(gaps)]
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs_of(spark, rows)).collect()}
+    for i, gap in enumerate(gaps):
+        at = len("Call hotline" + gap)
+        assert found[100 + i] == f"phone:{at}:{at + 12}" and found[200 + i] == ""
+
+
 def test_masking(spark):
     rows = [(1, "mail a@b.co or +1 (212) 555-0100."), (2, None), (3, "nothing"), (4, "é 10.0.0.1")]
     out = pii.masked(docs_of(spark, rows))
