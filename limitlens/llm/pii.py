@@ -1,8 +1,8 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
 Base rules find well-formed e-mail addresses, IP addresses, card and phone numbers. They are the
-seeds: the one and two words before them are lexical patterns. Tokens that merely look like
-identifiers are instances too. In the graph of patterns and instances a pattern's confidence
+seeds: the one and two words before them are lexical patterns. What merely looks like an
+identifier is an instance too. In the graph of patterns and instances a pattern's confidence
 for a kind is the share of what it precedes that is of this kind; an unproven instance takes
 the best confidence of its patterns, which counts for the patterns in the next round. In the end
 patterns of high confidence and enough different seeds name the unproven instances that have the
@@ -27,8 +27,15 @@ BASE = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-# What looks like an identifier: a token with a digit or an @ inside, of some length.
-LOOKALIKE = r"(?<!\S)[(+]?[A-Za-z0-9][^\s]{5,62}(?!\S)"
+# What looks like an identifier, by form: x@y between any marks; digits with marks, brackets and
+# blanks between them; and, as what a context may precede too, any other token with digits.
+_MARK = r"\s\p{Z}@<>()\[\]{}\"'`,;:|=\u201c\u201d\u2018\u2019\u00ab\u00bb"
+ADDRESS = rf"(?<![^{_MARK}])[^{_MARK}]++(?:@(?:\[[^\s@\]]++\]|[^{_MARK}]*[\p{{L}}\p{{N}}]))++"
+_GROUP = r"(?:\([0-9]{1,5}\)|[0-9]++(?![\p{L}\p{N}]))"
+_TIGHT = rf"\+?{_GROUP}(?:[^\s\p{{Z}}\p{{L}}\p{{N}}@\"'<>|;]{{0,2}}{_GROUP})*+"
+NUMBERS = rf"(?<![\p{{L}}\p{{N}}]){_TIGHT}(?:[ \u00a0]{{1,2}}(?:-[ \u00a0])?{_TIGHT})*+"
+_PART = r"[^ \u00a0]*[0-9][^ \u00a0]*"
+TOKEN = r"(?<!\S)[(+]?[A-Za-z0-9][^\s]{5,}+"
 
 ROUNDS, SMOOTHING = 3, 2.0
 CONFIDENCE, LEAST_SEEDS = 0.8, 5
@@ -91,6 +98,80 @@ def _spans(text: Column, pattern: str) -> Column:
     )
 
 
+def _overlaps(spans: Column | str, span: Column) -> Column:
+    return F.exists(spans, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+
+
+def _numbers(text: Column, base: Column) -> Column:
+    """Candidates (start, end, value, share) among the digits of a text.
+
+    Of a run with blanks every part begins candidates: the part itself, and the most parts that
+    phone and card numbers have digits for. They share the weight of one. Base spans end a run.
+    """
+    bar = F.lit(1000)
+
+    def of_run(run: Column) -> Column:
+        parts = F.transform(_spans(run["value"], _PART), lambda p: F.struct(
+            (run["start"] + p["start"]).alias("start"), (run["start"] + p["end"]).alias("end"),
+            F.length(_digits(p["value"])).alias("digits"),
+        ))
+        return F.transform(parts, lambda p: F.struct(
+            p["start"].alias("start"), p["end"].alias("end"),
+            F.when(_overlaps(base, p), bar).otherwise(p["digits"]).alias("digits"),
+        ))
+
+    def reach(parts: Column, at: Column, most: int) -> Column:
+        def add(state: Column, part: Column) -> Column:
+            total = state["digits"] + part["digits"]
+            return F.when(total > most, F.struct(bar.alias("digits"), state["end"].alias("end"), state["held"].alias("held"))).otherwise(
+                F.struct(total.alias("digits"), part["end"].alias("end"), total.alias("held"))
+            )
+
+        start = F.struct(F.lit(0).alias("digits"), F.lit(-1).alias("end"), F.lit(0).alias("held"))
+        # Every part has a digit.
+        return F.aggregate(F.slice(parts, at + 1, F.lit(most)), start, add, lambda s: F.struct(s["end"].alias("end"), s["held"].alias("held")))
+
+    def of_part(parts: Column, part: Column, at: Column) -> Column:
+        alone = F.when(
+            (part["digits"] >= 4) & (part["digits"] < bar) & (part["end"] - part["start"] >= 6),
+            F.struct(part["end"].alias("end"), part["digits"].alias("held")),
+        )
+        joined = [F.transform(F.array(reach(parts, at, most)), lambda r: F.when(r["held"] >= 7, r))[0] for most in (15, 19)]
+        ends = F.array(F.array_distinct(F.array_compact(F.array(alone, *joined))))
+        return F.transform(ends, lambda own: F.transform(own, lambda e: F.struct(
+            part["start"].alias("start"), e["end"].alias("end"),
+            F.substring(text, part["start"] + 1, e["end"] - part["start"]).alias("value"),
+            (F.lit(1.0) / F.size(own)).alias("share"),
+        )))[0]
+
+    runs = F.transform(_spans(text, NUMBERS), of_run)
+    return F.flatten(F.transform(runs, lambda parts: F.flatten(F.transform(parts, lambda p, i: of_part(parts, p, i)))))
+
+
+def _candidates(text: Column, base: Column) -> Column:
+    """What looks like an identifier and is no base span: start, end, value, share."""
+    none = F.array().cast("array<struct<start:int,end:int,value:string,share:double>>")
+    whole = lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "value")], F.lit(1.0).alias("share"))
+    free = lambda spans: F.filter(spans, lambda s: ~_overlaps(base, s))
+    addresses = F.when(F.contains(text, F.lit("@")), free(F.transform(_spans(text, ADDRESS), whole))).otherwise(none)
+    numbers = F.when(text.rlike("[0-9]"), _numbers(text, base)).otherwise(none)
+    return F.transform(F.array(F.struct(addresses.alias("a"), numbers.alias("n"))), lambda x: F.concat(
+        x["a"], F.filter(x["n"], lambda s: ~_overlaps(x["a"], s))
+    ))[0]
+
+
+def _tokens(text: Column, base: Column, forms: Column) -> Column:
+    """Other tokens with digits or an @: none at whose front a form begins."""
+    return F.transform(
+        F.filter(
+            _spans(text, TOKEN),
+            lambda s: s["value"].rlike("[0-9].*[0-9].*[0-9].*[0-9]|@")
+            & ~_overlaps(base, s) & ~F.exists(forms, lambda c: c["start"].between(s["start"], s["start"] + 2)),
+        ),
+        lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "value")], F.lit(1.0).alias("share")),
+    )
+
+
 def _before(text: Column, start: Column) -> Column:
     """The last two words before a place: lower case, without marks at their ends.
 
@@ -130,25 +211,21 @@ def find_base(docs: DataFrame, text: Column) -> DataFrame:
 
     ranked = [of_kind(rank, kind) for rank, kind in enumerate(KINDS)]
     rows = rows.select("_doc", "_text", F.array_sort(F.concat(*ranked)).alias("_base"))
-    looks = F.filter(
-        _spans(F.col("_text"), LOOKALIKE),
-        lambda s: s["value"].rlike("[0-9].*[0-9].*[0-9].*[0-9]|@")
-        & ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    rows = rows.select(
-        "_doc", "_text", "_base", F.when(F.col("_text").rlike("[0-9@]"), looks).otherwise(
-            F.array().cast("array<struct<start:int,end:int,value:string>>")
-        ).alias("_looks"),
-    )
-    with_words = lambda s, kind: F.struct(
-        s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end"),
+    none = F.array().cast("array<struct<start:int,end:int,value:string,share:double>>")
+    some = F.col("_text").rlike("[0-9@]")
+    forms = F.when(some, _candidates(F.col("_text"), F.col("_base"))).otherwise(none)
+    rows = rows.select("_doc", "_text", "_base", forms.alias("_forms"))
+    others = F.when(some, _tokens(F.col("_text"), F.col("_base"), F.col("_forms"))).otherwise(none)
+    rows = rows.select("_doc", "_text", "_base", F.concat("_forms", others).alias("_looks"))
+    with_words = lambda s, kind, share: F.struct(
+        s["start"].alias("start"), kind.alias("kind"), s["end"].alias("end"), share.alias("share"),
         F.lower(F.regexp_replace(s["value"], _TRIM, "")).alias("value"), _before(F.col("_text"), s["start"]).alias("words"),
     )
     return rows.select(
         F.monotonically_increasing_id().alias("_row"),
         "_doc",
-        F.transform("_base", lambda s: with_words(s, s["kind"])).alias("_base"),
-        F.transform("_looks", lambda s: with_words(s, F.lit(-1))).alias("_others"),
+        F.transform("_base", lambda s: with_words(s, s["kind"], F.lit(1.0))).alias("_base"),
+        F.transform("_looks", lambda s: with_words(s, F.lit(-1), s["share"])).alias("_others"),
     )
 
 
@@ -177,7 +254,7 @@ def _mentions(found: DataFrame) -> DataFrame:
         lambda p: p.isNotNull(),
     )
     return every.select(
-        "_row", "s.start", "s.end", "s.kind", "s.value", F.explode(patterns).alias("pattern")
+        "_row", "s.start", "s.end", "s.kind", "s.share", "s.value", F.explode(patterns).alias("pattern")
     )
 
 
@@ -187,7 +264,7 @@ def confident_patterns(mentions: DataFrame) -> DataFrame:
     Patterns and instances of any frequency are combined before they meet, see ``answer_groups``.
     """
     numbers = range(len(KINDS))
-    edges = mentions.groupBy("pattern", "value", "kind").agg(F.count("*").alias("weight"))
+    edges = mentions.groupBy("pattern", "value", "kind").agg(F.sum("share").alias("weight"))
     edges = edges.withColumn("spread", F.pmod(F.xxhash64("value", "pattern"), F.lit(64)))
     for i, kind in enumerate(KINDS):
         edges = edges.withColumn(f"seed{i}", (F.col("kind") == i).cast("double"))
@@ -243,7 +320,18 @@ def detect(docs: DataFrame, text: Column | None = None) -> DataFrame:
     )
     bare = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     joined = found.select("_row", "_doc", bare.alias("_base")).join(keep(added, "discovered"), "_row", "left")
-    every = F.when(F.col("_added").isNull(), F.col("_base")).otherwise(F.array_sort(F.concat("_base", "_added")))
+    # Of overlapping additions the one that starts first stays, the longest of those that start together.
+    first = F.array_sort(F.transform("_added", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
+    spans = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    apart = F.aggregate(
+        first, F.struct(F.lit(0).alias("at"), spans.alias("spans")),
+        lambda state, s: F.when(s["start"] < state["at"], state).otherwise(F.struct(
+            (-s["minus_end"]).alias("at"),
+            F.concat(state["spans"], F.array(F.struct(s["start"].alias("start"), s["kind"].alias("kind"), (-s["minus_end"]).alias("end")))).alias("spans"),
+        )),
+        lambda state: state["spans"],
+    )
+    every = F.when(F.col("_added").isNull(), F.col("_base")).otherwise(F.array_sort(F.concat("_base", apart)))
     return joined.select("_doc", "_base", every.alias("_all"))
 
 

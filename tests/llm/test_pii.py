@@ -90,6 +90,31 @@ def test_contexts_reach_over_marks_and_white_space(spark):
         assert found[100 + i] == f"phone:{at}:{at + 12}" and found[200 + i] == ""
 
 
+def test_contexts_discover_spaced_quoted_and_bracketed_forms(spark):
+    rows = [(i, f"Call hotline: +1 (212) 555-{1000 + i} now.") for i in range(60)]
+    rows += [(100 + i, f"write mailbox: user{i}@example.org now") for i in range(60)]
+    rows += [(200 + i, f"paid plastic: 4{i:014d}{luhn_digit(f'4{i:014d}')} now") for i in range(60)]
+    rows += [(300 + i, f"Item {'9' * i}x and the rest") for i in range(70)]
+    forms = {
+        900: ("Call hotline: ", "212 555 7788", " today", "phone"), 901: ("Call hotline: \"", "212-555-7788", "\" today", "phone"),
+        902: ("Call hotline: ", "(212) 555-7788", ", ok", "phone"), 903: ("Call hotline:", "212-555-7789", " today", "phone"),
+        904: ("Call hotline: ", "212 555 7788", " 2nd floor", "phone"), 905: ("Call hotline: (", "212.555.7787", ").", "phone"),
+        906: ("write mailbox: <", "bob@localhost", ">", "email"), 907: ("write mailbox: ", "b" * 80 + "@localhost", ".", "email"),
+        908: ("paid plastic: ", "4111 1111 1111 1112", " ok", "card"), 909: ("Call hotline: ", "212 555 7786", " 10.0.0.1", "phone"),
+    }
+    rows += [(k, before + value + after) for k, (before, value, after, _) in forms.items()]
+    found = {r["doc_id"]: r for r in pii.personal_data(docs_of(spark, rows)).collect()}
+    for k, (before, value, _, kind) in forms.items():
+        at = len(before)
+        assert f"{kind}:{at}:{at + len(value)}" in found[k]["spans"].split(","), (k, found[k])
+        assert found[k]["n_added"] == 1, (k, found[k])
+
+
+def luhn_digit(text):
+    doubled = [int(d) * (2 - i % 2) for i, d in enumerate(reversed(text))]
+    return -sum(d - 9 * (d > 9) for d in doubled) % 10
+
+
 def test_masking(spark):
     rows = [(1, "mail a@b.co or +1 (212) 555-0100."), (2, None), (3, "nothing"), (4, "é 10.0.0.1")]
     out = pii.masked(docs_of(spark, rows))
