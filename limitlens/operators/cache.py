@@ -32,13 +32,29 @@ def dates_to_fetch(
     return wanted.orderBy("d")
 
 
+def specs_digest(catalog: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(eqp_id, specs_digest): each tool's specs of an allowed grade, in any order, as one text."""
+    allowed = F.coalesce(F.col("grade").isin(*settings.grades), F.lit(False))
+    specs = catalog.groupBy("eqp_id", "spec_id").agg(F.max(allowed).alias("allowed"))
+    part = lambda h: F.sum(F.when(F.col("allowed"), h.cast("decimal(20,0)")))
+    return specs.groupBy("eqp_id").agg(F.concat_ws(
+        ":", F.count_if("allowed").cast("string"),
+        part(F.xxhash64("spec_id")).cast("string"), part(F.xxhash64(F.lit(1), "spec_id")).cast("string"),
+    ).alias("specs_digest"))
+
+
 def fetch_plan(
-    tools: DataFrame, manifest: DataFrame | None, end: Column, settings: Settings = Settings()
+    tools: DataFrame,
+    manifest: DataFrame | None,
+    end: Column,
+    settings: Settings = Settings(),
+    digests: DataFrame | None = None,
 ) -> DataFrame:
     """Every (tool, date) of the window that the manifest does not hold as a closed day.
 
     Each tool row unfolds its own dates: there is no cross join. A day that was still open
-    when it was read is fetched again; an empty closed day is not.
+    when it was read is fetched again; an empty closed day is not. With ``digests`` a day that
+    was read for other specs of its tool is fetched again too, for all of them.
     """
     days = settings.window_days if settings.prefill else settings.current_week_days
     days = min(days, settings.window_days)
@@ -47,9 +63,10 @@ def fetch_plan(
     )
     if manifest is None:
         return wanted
-    return wanted.join(
-        manifest.where("day_closed = 1").select("eqp_id", "d"), ["eqp_id", "d"], "left_anti"
-    )
+    closed = manifest.where("day_closed = 1")
+    if digests is not None:
+        closed = closed.join(digests, ["eqp_id", "specs_digest"], "left_semi")
+    return wanted.join(closed.select("eqp_id", "d"), ["eqp_id", "d"], "left_anti")
 
 
 # Stored width in bytes of the fixed-size types.

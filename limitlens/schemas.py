@@ -53,6 +53,10 @@ CALENDAR = _schema("ww_start_date DATE, ww_end_date DATE, year_ww STRING")
 MANIFEST = _schema(
     "eqp_id STRING, row_count BIGINT, byte_size BIGINT, day_closed INT, d DATE"
 )
+# What a refresh stores: also a digest of the specs that the tool-day was read for.
+REFRESH_MANIFEST = _schema(
+    "eqp_id STRING, row_count BIGINT, byte_size BIGINT, day_closed INT, specs_digest STRING, d DATE"
+)
 RUN_LOG = _schema(
     "timestamp STRING, out_name STRING, eqp_id STRING, d DATE, status STRING, est_rows BIGINT, "
     "actual_rows BIGINT, est_over_actual DOUBLE, nbytes_mb DOUBLE, fetch_sec DOUBLE, "

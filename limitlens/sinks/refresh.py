@@ -11,7 +11,7 @@ from limitlens import schemas
 from limitlens.config import Settings
 from limitlens.functions.dates import day_closed
 from limitlens.functions.numbers import megabytes
-from limitlens.operators.cache import fetch_plan
+from limitlens.operators.cache import fetch_plan, specs_digest
 from limitlens.storage import drop_partitions, durable
 from limitlens.sinks.tables import append_run_log, by_day, write_manifest
 from limitlens.sources.readings import readings_filtered
@@ -56,6 +56,21 @@ def _day_counts(days: list[date]) -> list[Column]:
     return [F.count(F.when(F.col("d") == F.lit(d), 1)).alias(f"n_{d:%Y%m%d}") for d in days]
 
 
+def _row_sum() -> Column:
+    """Sum of the rows' hashes over every column: the same in any order of the rows."""
+    return F.xxhash64(*schemas.READINGS.names).cast("decimal(20,0)")
+
+
+def _day_sums(days: list[date]) -> list[Column]:
+    return [F.sum(F.when(F.col("d") == F.lit(d), _row_sum())).alias(f"s_{d:%Y%m%d}") for d in days]
+
+
+def stored_sums(spark: SparkSession, root: str, days: list[date]) -> dict:
+    """Sum of the stored rows' hashes by day; at most one row per window day."""
+    rows = read_table(spark, root, schemas.READINGS).where(F.col("d").isin(*days))
+    return {r.d: r.s for r in rows.groupBy("d").agg(F.sum(_row_sum()).alias("s")).collect()}
+
+
 def unit_outcomes(
     plan: DataFrame, stored: DataFrame, broken: list[date], run_time: str, attempt: int = 1
 ) -> DataFrame:
@@ -94,15 +109,17 @@ def refresh_window(
     Only missing or unfinished tool-days are read from ``source``. Their days are rewritten
     as a whole: new rows plus the rows already cached for other tools. The manifest of these
     days is taken away first and written last, so a run that dies in between is repeated in
-    full by the next one. A day whose stored rows differ from the written rows is dropped and
+    full by the next one. A closed tool-day that was read for other specs than the catalog has now
+    is read again. A day whose stored rows differ in number or content from the written rows is dropped and
     stays out of the manifest, which makes the next run fetch it again. With ``log_root`` each
     planned tool-day adds its outcome to the run log, under ``run_time`` (default: the run date)
     and ``attempt``, so that a repeated run of one day is told apart from the first.
     """
     spark = source.sparkSession
     run_date = F.lit(end)
-    manifest = read_table(spark, manifest_root, schemas.MANIFEST)
-    plan = durable(fetch_plan(catalog, manifest, run_date, settings))
+    manifest = read_table(spark, manifest_root, schemas.REFRESH_MANIFEST)
+    digests = specs_digest(catalog, settings)
+    plan = durable(fetch_plan(catalog, manifest, run_date, settings, digests))
     # At most one row per window day.
     planned = {row.d: row["count"] for row in plan.groupBy("d").count().collect()}
     n_wanted = fetch_plan(catalog, None, run_date, settings).count()
@@ -130,13 +147,14 @@ def refresh_window(
     )
     names = schemas.READINGS.names
     content = fetched.select(*names).unionByName(kept.select(*names))
+    content = content.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.READINGS.fields])
 
     day_texts = [f"{d:%Y-%m-%d}" for d in days]
     drop_partitions(spark, manifest_root, "d", day_texts)
     counted = Observation("refresh")
     (
         by_day(content)
-        .observe(counted, *_day_counts(days))
+        .observe(counted, *_day_counts(days), *_day_sums(days))
         .write.partitionBy("d")
         .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
@@ -147,7 +165,11 @@ def refresh_window(
 
     stored = durable(stored_manifest(spark, root, days, run_date))
     found = {r.d: r.n for r in stored.groupBy("d").agg(F.sum("row_count").alias("n")).collect()}
-    broken = [d for d in days if found.get(d, 0) != written[d]]
+    sums = stored_sums(spark, root, days)
+    broken = [
+        d for d in days
+        if found.get(d, 0) != written[d] or sums.get(d) != counted.get[f"s_{d:%Y%m%d}"]
+    ]
     drop_partitions(spark, root, "d", [f"{d:%Y-%m-%d}" for d in broken])
 
     empty = (
@@ -155,9 +177,12 @@ def refresh_window(
         .withColumn("row_count", F.lit(0).cast("bigint"))
         .withColumn("byte_size", F.lit(0).cast("bigint"))
         .withColumn("day_closed", day_closed(F.col("d"), run_date))
-        .unionByName(known.where("row_count = 0"))
+        .unionByName(known.where("row_count = 0").drop("specs_digest"))
+    )
+    read_for = plan.join(digests, "eqp_id").select("eqp_id", "d", "specs_digest").unionByName(
+        known.select("eqp_id", "d", "specs_digest")
     )
-    entries = stored.unionByName(empty)
+    entries = stored.unionByName(empty).join(read_for, ["eqp_id", "d"], "left")
     if broken:
         entries = entries.where(~F.col("d").isin(*broken))
     write_manifest(entries, manifest_root)

@@ -64,7 +64,9 @@ def write_days(readings: DataFrame, root: str) -> None:
 
 
 def write_manifest(manifest: DataFrame, root: str) -> None:
-    _overwrite(manifest.select(schemas.MANIFEST.names).hint("rebalance", F.col("d")), root, "d")
+    """Rows per tool-day; the digest of a refresh is kept if there is one."""
+    names = [c for c in schemas.REFRESH_MANIFEST.names if c in {*schemas.MANIFEST.names, *manifest.columns}]
+    _overwrite(manifest.select(names).hint("rebalance", F.col("d")), root, "d")
 
 
 def write_catalog(catalog: DataFrame, root: str) -> None:

@@ -236,3 +236,31 @@ def test_window_read_prunes_days(spark, make_readings, tmp_path):
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan and "ReadSchema: struct<spec_id:string>" in plan
     assert scan.count() == 8
+
+
+def test_new_spec_of_a_cached_tool_gets_its_closed_days(spark, make_readings, make_catalog, catalog, roots):
+    source, end = make_readings(source_rows(10)), date(2024, 1, 11)
+    refresh_window(source, catalog, *roots, end, THREE)
+    before = stored(spark, roots[0])
+    more = catalog.union(make_catalog([("b", "b-9", "PATTERN_A", "G1", "U1")]))
+    result = refresh_window(source, more, *roots, end, THREE)
+    after = stored(spark, roots[0])
+    assert result.planned_tool_days == 5 and [r for r in after if r[1] != "b-9"] == before
+    assert sorted(str(r[2]) for r in after if r[1] == "b-9") == ["2024-01-09", "2024-01-10"]
+    assert refresh_window(source, more, *roots, end, THREE).planned_tool_days == 3
+
+
+def test_rows_of_exchanged_tools_are_noticed(spark, make_readings, catalog, roots, monkeypatch):
+    from limitlens.sinks import refresh
+
+    def exchanged(spark, root, schema):
+        rows = read_table(spark, root, schema)
+        if root != roots[0]:
+            return rows
+        other = F.when(F.col("eqp_id") == "a", "b").when(F.col("eqp_id") == "b", "a").otherwise(F.col("eqp_id"))
+        return rows.withColumn("eqp_id", other)
+
+    monkeypatch.setattr(refresh, "read_table", exchanged)
+    result = refresh_window(make_readings(source_rows(10)), catalog, *roots, END, THREE)
+    # The totals of the days are right, their rows are not.
+    assert [d.day for d in result.days_dropped] == [8, 9, 10] and entries(spark, roots[1]) == []
