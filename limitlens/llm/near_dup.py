@@ -32,7 +32,7 @@ SKETCH, LISTED = 128, 32
 SHORT_LIST, BLOCK = 64, 256
 # Chance that the lists or the estimate miss a pair exactly at the threshold.
 _MISS = 1e-9
-_ESTIMATE_SLACK = 5.5  # standard deviations of the estimate
+_ESTIMATE_MISS = 1e-12
 CACHED = 400_000
 _SLAB = 4096
 # The table of how often shingles are held: at most 2 ** _MOST_BITS entries, summed in _PARTS tasks.
@@ -115,12 +115,12 @@ def _full_sets(words: int):
     return run
 
 
-def sure_overlap(percent: int, drawn: int = LISTED) -> int:
-    """How many of ``drawn`` smallest values two sets at the threshold share, but for a chance of _MISS."""
+def sure_overlap(percent: int, drawn: int = LISTED, miss: float = _MISS) -> int:
+    """How many of ``drawn`` smallest values two sets at the threshold share, but for a chance of ``miss``."""
     p, below = percent / 100, 0.0
     for count in range(drawn + 1):
         below += math.comb(drawn, count) * p**count * (1 - p) ** (drawn - count)
-        if below > _MISS:
+        if below > miss:
             return max(1, count)
     return drawn
 
@@ -161,7 +161,7 @@ def _estimated(percent: int):
     """Pairs whose union's sketch allows the threshold, and whose sizes do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        threshold = percent / 100
+        threshold, sure = percent / 100, sure_overlap(percent, SKETCH, _ESTIMATE_MISS)
         for batch in batches:
             n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
             kept = np.zeros(batch.num_rows, bool)
@@ -173,11 +173,11 @@ def _estimated(percent: int):
                 union = np.union1d(a, b)
                 if large > SKETCH:
                     union = union[:SKETCH]
-                    slack = _ESTIMATE_SLACK * math.sqrt(threshold * (1 - threshold) / SKETCH)
+                    least = sure
                 else:
-                    slack = 0.0  # both sketches are the whole sets
+                    least = threshold * len(union) - 1e-9  # both sketches are the whole sets
                 both = np.intersect1d(a, b, assume_unique=True)
-                kept[i] = np.searchsorted(both, union[-1], "right") >= (threshold - slack) * len(union) - 1e-9
+                kept[i] = np.searchsorted(both, union[-1], "right") >= least
             yield batch.select(["a", "b"]).filter(pa.array(kept))
 
     return run

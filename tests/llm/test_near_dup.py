@@ -112,3 +112,28 @@ def test_sure_overlap_is_a_binomial_tail():
     least = rng.binomial(near_dup.LISTED, 0.85, 2_000_000).min()
     assert near_dup.sure_overlap(85) <= least
     assert near_dup.sure_overlap(100) == near_dup.LISTED
+
+
+def test_estimate_keeps_pairs_up_to_the_stated_miss():
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    from limitlens.llm import near_dup
+
+    for percent in (80, 85):
+        p, size = percent / 100, near_dup.SKETCH
+        tail = [sum(math.comb(size, i) * p**i * (1 - p) ** (size - i) for i in range(k)) for k in range(size + 1)]
+        least = max(k for k in range(size + 1) if tail[k] <= 1e-12)
+        for both in (least, least - 1):
+            alone = (size - both) // 2
+            a = np.arange(both + alone)
+            b = np.concatenate([np.arange(both), np.arange(500, 500 + size - both - alone)])
+            pair = pa.table({
+                "a": pa.array([b"a"]), "b": pa.array([b"b"]), "n_a": [1000], "n_b": [1000],
+                "s_a": pa.array([np.append(a, np.arange(1000, 1020)).tolist()], pa.list_(pa.int64())),
+                "s_b": pa.array([np.append(b, np.arange(2000, 2020)).tolist()], pa.list_(pa.int64())),
+            }).to_batches()
+            (kept,) = near_dup._estimated(percent)(pair)
+            assert kept.num_rows == (both == least), (percent, both)
