@@ -22,7 +22,7 @@ from limitlens.llm.tables import answer_groups, keep, partitions_of
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 # Split points of a tree node; nodes with fewer entries than twice that are leaves.
-DEGREE = 8
+DEGREE = 16
 
 
 def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -37,12 +37,16 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return found.astype(np.int64)
 
 
+# Wider than the rounding of a root and of one sum together.
+_WIDER = 1 + 2.0**-40
+
+
 def _down(squares: np.ndarray) -> np.ndarray:
-    return np.maximum(0.0, np.nextafter(np.sqrt(squares.astype(np.float64)), -np.inf))
+    return np.sqrt(squares.astype(np.float64)) / _WIDER
 
 
 def _up(squares: np.ndarray) -> np.ndarray:
-    return np.nextafter(np.sqrt(np.nextafter(squares.astype(np.float64), np.inf)), np.inf)
+    return np.sqrt(squares.astype(np.float64)) * _WIDER
 
 
 class EntryTree:
@@ -102,9 +106,8 @@ class EntryTree:
                 some = np.flatnonzero((closest == j) == own)
                 if not own and len(some):
                     reach = _up(best[rows[some]])[:, None]
-                    beyond = np.nextafter(low[some] - far[:, j], -np.inf) > reach
-                    short = np.nextafter(near[:, j] - high[some], -np.inf) > reach
-                    some = some[~(beyond | short).any(1)]
+                    out = (low[some] > far[:, j] + reach) | (near[:, j] > high[some] + reach)
+                    some = some[~out.any(1)]
                 if len(some):
                     self._visit(child, queries, rows[some], best, index)
 
