@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from limitlens.llm.bpe import round_trip
 from limitlens.llm.direct_codes import stored_ids
 from limitlens.llm.exact_dedup import exact_duplicates
+from limitlens.llm.language_model import language_scores
 from limitlens.llm.near_dup import near_duplicates
 from limitlens.llm.packing import pack
 from limitlens.llm.pii import personal_data
@@ -152,6 +153,11 @@ FROM kept JOIN coded USING (row), digest
 ORACLE["op11_vector_codes"] = _codebook_sql()
 
 
+@query
+def op12_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
