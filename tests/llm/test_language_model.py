@@ -12,7 +12,7 @@ from llm_cases import SF_DIR, docs_of, odd_documents
 from limitlens.llm import language_model as lm
 from limitlens.llm.language_model import LogFrequencyFilter, language_scores
 
-WIDE = 60  # bits an entry: no chance hit is to be expected, so scores equal those of exact counts
+WIDE = 600  # bits an entry: no chance hit is to be expected, so scores equal those of exact counts
 
 
 def scores_of(rows, folds=10):
