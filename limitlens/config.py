@@ -34,5 +34,9 @@ class Settings:
     )
     # A group with more readings than this is never handled by a single task.
     hot_rows: int = 1_000_000
+    # Tool buckets of a day in a new cache (a property of the table from then on); by the size of the source if not given.
+    tool_buckets: int | None = None
+    # Source days that are read at the same time when they are read one by one.
+    fetch_concurrency: int = 4
     # A join side is broadcast only when a count shows that it has at most this many rows.
     broadcast_rows: int = 500_000

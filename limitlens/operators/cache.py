@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -43,32 +45,79 @@ def specs_digest(catalog: DataFrame, settings: Settings = Settings()) -> DataFra
     ).alias("specs_digest"))
 
 
+def window_length(settings: Settings) -> int:
+    """Days that a refresh looks at."""
+    return settings.window_days if settings.prefill else min(settings.current_week_days, settings.window_days)
+
+
 def fetch_plan(
     tools: DataFrame,
     manifest: DataFrame | None,
     end: Column,
     settings: Settings = Settings(),
-    digests: DataFrame | None = None,
 ) -> DataFrame:
     """Every (tool, date) of the window that the manifest does not hold as a closed day.
 
     Each tool row unfolds its own dates: there is no cross join. A day that was still open
-    when it was read is fetched again; an empty closed day is not. With ``digests`` a day that
-    was read for other specs of its tool is fetched again too, for all of them.
+    when it was read is fetched again; an empty closed day is not.
     """
-    days = settings.window_days if settings.prefill else settings.current_week_days
-    days = min(days, settings.window_days)
     wanted = tools.select("eqp_id").distinct().select(
-        "eqp_id", F.explode(F.reverse(window_days(end, days))).alias("d")
+        "eqp_id", F.explode(F.reverse(window_days(end, window_length(settings)))).alias("d")
     )
     if manifest is None:
         return wanted
     closed = manifest.where("day_closed = 1")
-    if digests is not None:
-        closed = closed.join(digests, ["eqp_id", "specs_digest"], "left_semi")
     return wanted.join(closed.select("eqp_id", "d"), ["eqp_id", "d"], "left_anti")
 
 
+def refresh_plan(
+    manifest: DataFrame, digests: DataFrame, end: Column, settings: Settings = Settings()
+) -> DataFrame:
+    """(eqp_id, d, read_for): tool-days of the window that are not stored as the catalog wants them.
+
+    ``digests`` has every tool of the catalog, see :func:`specs_digest`.
+    ``read_for`` is empty where the whole tool-day has to be read, and the digest of the specs that it
+    was read for where only the difference matters. A change of specs touches closed days only: an open one is read anyway.
+    """
+    wanted = fetch_plan(digests, None, end, settings)
+    closed = manifest.where("day_closed = 1 and specs_digest is not null").select("eqp_id", "d", F.col("specs_digest").alias("_was"))
+    now = digests.select("eqp_id", F.col("specs_digest").alias("_now"))
+    return (
+        wanted.join(now, "eqp_id")
+        .join(closed, ["eqp_id", "d"], "left")
+        .where("_was is null or _was <> _now")
+        .select("eqp_id", "d", F.coalesce("_was", F.lit("")).alias("read_for"))
+    )
+
+
+def specs_to_read(plan: DataFrame, allowed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(eqp_id, read_for, spec_id): the allowed specs that a planned tool-day was not read for yet."""
+    had = ledger.withColumnRenamed("specs_digest", "read_for")
+    return (
+        plan.select("eqp_id", "read_for").distinct()
+        .join(allowed, "eqp_id")
+        .join(had, ["eqp_id", "read_for", "spec_id"], "left_anti")
+        .select("eqp_id", "read_for", "spec_id")
+    )
+
+
+def content_sum(columns: Sequence[str]) -> Column:
+    """Sum of the rows' hashes over ``columns``: the same for the same rows in any order."""
+    return F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def damaged_tool_days(manifest: DataFrame, stored: DataFrame) -> DataFrame:
+    """(eqp_id, d, status) of tool-days whose stored rows are not those that the manifest promises.
+
+    Both sides have row_count and content_sum; status as in :func:`verify_manifest`.
+    """
+    found = verify_manifest(
+        manifest.select("eqp_id", "d", "row_count", F.col("content_sum").alias("byte_size")),
+        stored.select("eqp_id", "d", "row_count", F.col("content_sum").alias("byte_size")),
+    )
+    return found.where("status <> 'ok'").select("eqp_id", "d", "status")
+
+
 # Stored width in bytes of the fixed-size types.
 _WIDTHS = {
     T.DoubleType(): 8, T.LongType(): 8, T.TimestampNTZType(): 8, T.TimestampType(): 8,

@@ -90,6 +90,24 @@ def spec_chunks(
     return units.unionByName(whole)
 
 
+def estimated_rows(units: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(eqp_id, d, est_rows): how many rows a tool-day is expected to have, before it is read.
+
+    The tool's mean over its other closed days; of a tool without any, the mean of all tools; without history NULL.
+    """
+    closed = manifest.where("day_closed = 1").select("eqp_id", "d", "row_count")
+    overall = closed.agg(F.avg("row_count")).first()[0]
+    history = closed.groupBy("eqp_id").agg(F.sum("row_count").alias("_sum"), F.count("*").alias("_n"))
+    own = closed.withColumnRenamed("row_count", "_own")
+    others = F.try_divide(
+        F.col("_sum") - F.coalesce("_own", F.lit(0)), F.col("_n") - F.col("_own").isNotNull().cast("int")
+    )
+    return (
+        units.select("eqp_id", "d").join(history, "eqp_id", "left").join(own, ["eqp_id", "d"], "left")
+        .select("eqp_id", "d", F.round(F.coalesce(others, F.lit(overall).cast("double"))).cast("bigint").alias("est_rows"))
+    )
+
+
 def paths_per_tool(files: DataFrame, path: str = "key") -> DataFrame:
     """Sorted file paths of each tool; a tool has at most a few files per window day."""
     return files.groupBy("eqp_id").agg(

@@ -24,13 +24,18 @@ def _units(status: str) -> Column:
 
 
 def run_log_summary(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Counters, high-water mark and guarded averages of a run."""
+    """Counters, high-water mark and guarded averages of a run; failures also by stage."""
     minutes = F.sum("total_sec") / 60
+    failed = F.col("status") == "failed"
     return log.groupBy(*by).agg(
         F.count("*").alias("checked"),
         _units("wrote").alias("uploaded"),
         _units("empty").alias("empty"),
         _units("failed").alias("failed"),
+        _units("skipped_existing").alias("skipped_existing"),
+        F.count(F.when(F.col("status").isin("wrote", "empty") | (failed & (F.col("stage") != "fetch")), 1)).alias("fetched"),
+        F.count(F.when(failed & (F.col("stage") == "fetch"), 1)).alias("failed_fetch"),
+        F.count(F.when(failed & (F.col("stage") == "upload"), 1)).alias("failed_upload"),
         F.sum("actual_rows").alias("rows"),
         F.max("actual_rows").alias("rows_high_water"),
         guarded_average(F.sum("actual_rows"), _units("wrote")).alias("avg_rows"),

@@ -7,8 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 
 from limitlens.config import Settings
-from limitlens.sinks.refresh import RefreshResult, refresh_window
-from limitlens.sinks.tables import purge_expired_days
+from limitlens.sinks.refresh import RefreshResult, expire_days, refresh_window
 
 
 def run(
@@ -21,9 +20,7 @@ def run(
     log_root: str | None = None,
     run_time: str | None = None,
     attempt: int = 1,
+    verify: bool = False,
 ) -> RefreshResult:
-    oldest = f"{end - timedelta(days=settings.window_days - 1):%Y-%m-%d}"
-    spark = source.sparkSession
-    purge_expired_days(spark, manifest_root, oldest)
-    purge_expired_days(spark, root, oldest)
-    return refresh_window(source, catalog, root, manifest_root, end, settings, log_root, run_time, attempt)
+    expire_days(source.sparkSession, root, manifest_root, end - timedelta(days=settings.window_days - 1))
+    return refresh_window(source, catalog, root, manifest_root, end, settings, log_root, run_time, attempt, verify)

@@ -6,7 +6,6 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from limitlens import schemas
 from limitlens.config import Settings
 from limitlens.functions.dates import in_window
 from limitlens.operators.cache import completeness
@@ -14,8 +13,8 @@ from limitlens.operators.calendar import with_work_week
 from limitlens.operators.heat import tools_over
 from limitlens.operators.verdict import calculations, confirm
 from limitlens.sinks.tables import publish_report
+from limitlens.sources.cache import cached_manifest, cached_readings
 from limitlens.sources.reports import prior_week_fails
-from limitlens.sources.tables import read_table
 from limitlens.storage import drop_folder, partition_values, scratch_table
 
 
@@ -42,10 +41,8 @@ def build(
     hot_root: str | None = None,
 ) -> DataFrame:
     """One plan for all tools. The manifest tells which tools could hold a large spec."""
-    readings = read_table(spark, root, schemas.READINGS).where(
-        in_window(F.col("d"), F.lit(end), settings.window_days)
-    )
-    manifest = read_table(spark, manifest_root, schemas.MANIFEST)
+    readings = cached_readings(spark, root).where(in_window(F.col("d"), F.lit(end), settings.window_days))
+    manifest = cached_manifest(spark, root, manifest_root)
     verdicts = calculations(
         readings,
         catalog,

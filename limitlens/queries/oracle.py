@@ -412,6 +412,8 @@ from done""",
 with {_LOG}
 select d, count(*) as checked, count(*) filter (status = 'wrote') as uploaded,
        count(*) filter (status = 'empty') as empty, count(*) filter (status = 'failed') as failed,
+       0::bigint as skipped_existing, count(*) filter (status <> 'failed') as fetched,
+       count(*) filter (stage = 'fetch') as failed_fetch, 0::bigint as failed_upload,
        cast(sum(actual_rows) as bigint) as rows, max(actual_rows) as rows_high_water,
        round(coalesce(sum(actual_rows) / nullif(count(*) filter (status = 'wrote'), 0), 0), 6) as avg_rows,
        round(avg(fetch_sec), 6) as avg_fetch_sec, round(avg(write_sec), 6) as avg_write_sec,
@@ -437,6 +439,66 @@ left join content c on c.eqp_id = t.eqp_id and c.d = days.d""",
     "compact_chunks": f"with {READINGS} select * from readings",
 }
 
+# The cache after a refresh: every tool of the catalog has each day, all but the last one closed.
+def _cache(specs: str, source_rows: str, more: str = "") -> str:
+    return f"""
+{_BASE},
+days as (select cast(g as date) as d from generate_series(timestamp '2024-01-01', timestamp '2024-01-31', interval 1 day) t(g)),
+specs as (select distinct eqp_id, spec_id from {specs}),
+kept as (select r.* from readings r join specs using (eqp_id, spec_id)),
+content as (
+  select eqp_id, d, count(*) as stored_rows, round(sum(param_value), 6) as value_sum, max(reading_id) as last_reading
+  from kept group by eqp_id, d)
+select t.eqp_id, days.d, coalesce(c.stored_rows, 0) as row_count, cast(days.d < date '2024-01-31' as integer) as day_closed,
+       c.stored_rows, c.value_sum, c.last_reading, ({source_rows}) as source_rows {more}
+from (select distinct eqp_id from graded) t cross join days
+left join content c on c.eqp_id = t.eqp_id and c.d = days.d"""
+
+
+_RUNS = f"""
+{_BASE},
+tools as (select distinct eqp_id from graded),
+runs(timestamp, first_day, end_day, known_before) as (
+  values ('2024-01-23', date '2023-12-25', date '2024-01-23', timestamp '2024-01-23 12:00:00'),
+         ('2024-01-30', date '2024-01-01', date '2024-01-30', timestamp '2024-02-01 00:00:00')),
+facts as (
+  select n.timestamp, r.eqp_id, r.d, count(*) as n
+  from readings r join (select distinct eqp_id, spec_id from graded) using (eqp_id, spec_id)
+  join runs n on r.act_time < n.known_before group by all),
+units as (
+  select n.timestamp, t.eqp_id, cast(g.d as date) as d,
+         n.timestamp = '2024-01-30' and g.d < date '2024-01-23' as was_there
+  from runs n cross join tools t, generate_series(n.first_day::timestamp, n.end_day::timestamp, interval 1 day) g(d)),
+logged as (
+  select u.*, f.n, case when was_there then 'skipped_existing' when f.n is null then 'empty' else 'wrote' end as status
+  from units u left join facts f using (timestamp, eqp_id, d))
+"""
+
+ORACLE |= {
+    "refresh_new_tool": _cache(
+        "graded", "select count(*) from kept where eqp_id = (select max(eqp_id) from graded)"
+    ),
+    "refresh_new_spec": _cache(
+        "(select * from graded where pattern <> 'PATTERN_D')", "select count(*) from kept where processid = 'view'"
+    ),
+    "refresh_verified": _cache("graded", "select count(*) from kept", ", true as found_exactly, true as healed"),
+    "run_log_real": f"""
+{_RUNS}
+select timestamp, d, count(*) as checked, count(*) filter (status = 'wrote') as uploaded,
+       count(*) filter (status = 'empty') as empty, count(*) filter (status = 'skipped_existing') as skipped_existing,
+       0::bigint as failed, cast(coalesce(sum(case when was_there then null else coalesce(n, 0) end), null) as bigint) as rows,
+       bool_and(not was_there) as has_times
+from logged group by timestamp, d""",
+    "planned_units": f"""
+with {READINGS}, {_DAYS},
+closed as (
+  select eqp_id, d, count(*) as n from readings where d < date '2024-01-23' group by eqp_id, d),
+history as (select eqp_id, sum(n) as total, count(*) as days from closed group by eqp_id)
+select t.eqp_id, days.d, cast(round(coalesce(h.total / h.days, (select avg(n) from closed))) as bigint) as est_rows
+from (select distinct eqp_id from readings) t cross join days left join history h using (eqp_id)
+where not exists (select 1 from closed c where c.eqp_id = t.eqp_id and c.d = days.d)""",
+}
+
 # Queries whose results must not depend on the size of a group or on a run before.
 _SHARED = _REPORT.replace(
     "cast(user_id as varchar) || '-' || event_type as spec_id",

@@ -16,13 +16,15 @@ from limitlens.operators.rules import with_verdict
 from limitlens.plans import fetch_stage, spec_stage
 from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
-from limitlens.storage import scratch_table
+from limitlens.sinks.refresh import verify_cache
+from limitlens.storage import drop_folder, durable, scratch_table
+from limitlens.sources.cache import cached_manifest, cached_readings
 from limitlens.sources.catalog import scan_catalog
 from limitlens.sources.readings import readings_filtered as filtered
 from limitlens.sources.readings import tool_window_scan as window_scan
 from limitlens.sources.reports import prior_week_fails as prior_fails
 from limitlens.sources.reports import report_week
-from limitlens.sources.tables import read_table, stored_files
+from limitlens.sources.tables import read_run_log, read_table, stored_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -472,8 +474,12 @@ def refresh_window(spark, sf_dir):
     known = rows.where(F.col("act_time") < F.lit("2024-01-23 12:00:00").cast("timestamp_ntz"))
     fetch_stage.run(known, specs, root, manifest, first, fx.SETTINGS)
     fetch_stage.run(rows, specs, root, manifest, fx.RUN_DAY, fx.SETTINGS)
-    stored = read_table(spark, root, schemas.READINGS)
-    entries = read_table(spark, manifest, schemas.MANIFEST)
+    return _cache_content(spark, root, manifest)
+
+
+def _cache_content(spark: SparkSession, root: str, manifest: str) -> DataFrame:
+    """Manifest and stored readings by tool-day, side by side."""
+    stored, entries = cached_readings(spark, root), cached_manifest(spark, root, manifest)
     content = stored.groupBy("eqp_id", "d").agg(
         F.count("*").alias("stored_rows"),
         F.round(F.sum("param_value"), 6).alias("value_sum"),
@@ -484,6 +490,88 @@ def refresh_window(spark, sf_dir):
     )
 
 
+# The day after the last reading: every day with readings is closed.
+_AFTER = fx.date(2024, 1, 31)
+_WHOLE = replace(fx.SETTINGS, window_days=31, tool_buckets=3)
+
+
+def _refreshed_twice(spark: SparkSession, sf_dir: str, before: DataFrame, after: DataFrame) -> DataFrame:
+    """The cache after a run for each catalog, with what the second one read from the source."""
+    rows = fx.readings(spark, sf_dir)
+    root, manifest = scratch_table(spark, "readings"), scratch_table(spark, "manifest")
+    fetch_stage.run(rows, before, root, manifest, _AFTER, _WHOLE)
+    second = fetch_stage.run(rows, after, root, manifest, _AFTER, _WHOLE)
+    return _cache_content(spark, root, manifest).withColumn("source_rows", F.lit(second.source_rows).cast("bigint"))
+
+
+@query
+def refresh_new_tool(spark, sf_dir):
+    """A tool joins a cache whose days are all closed: its readings are read, and no others."""
+    specs = fx.graded(fx.registrations(spark, sf_dir))
+    joined = specs.agg(F.max("eqp_id")).first()[0]
+    return _refreshed_twice(spark, sf_dir, specs.where(F.col("eqp_id") != joined), specs)
+
+
+@query
+def refresh_new_spec(spark, sf_dir):
+    """The tools' "view" specs are new and their "signup" specs regraded: only "view" readings are read."""
+    specs = fx.graded(fx.registrations(spark, sf_dir))
+    pattern = F.col("pattern")
+    regraded = specs.withColumn("grade", F.when(pattern == "PATTERN_D", "G5").otherwise(F.col("grade")))
+    return _refreshed_twice(spark, sf_dir, specs.where(pattern != "PATTERN_B"), regraded)
+
+
+@query
+def refresh_verified(spark, sf_dir):
+    """A data file of the cache is removed and a value in another changed; the next run finds and mends exactly that."""
+    rows, specs = fx.readings(spark, sf_dir), fx.graded(fx.registrations(spark, sf_dir))
+    root, manifest = scratch_table(spark, "readings"), scratch_table(spark, "manifest")
+    first = fetch_stage.run(rows, specs, root, manifest, _AFTER, _WHOLE)
+    names = sorted(r.file_path for r in stored_files(spark, f"{root}/data").select("file_path").collect())
+    removed, changed = (spark.read.parquet(n) for n in (names[0], names[-1]))
+    tool, day = changed.agg(F.min("eqp_id")).first()[0], (lambda name: name.split("/d=")[1][:10])
+    hit = changed.where(F.col("eqp_id") == tool).agg(F.max("reading_id")).first()[0]
+    harmed = removed.select("eqp_id", F.lit(day(names[0])).cast("date").alias("d")).distinct().unionByName(
+        spark.createDataFrame([(tool, day(names[-1]))], "eqp_id STRING, d STRING").withColumn("d", F.col("d").cast("date"))
+    )
+    harmed = durable(harmed)
+    value = F.col("param_value") + (F.col("reading_id") == hit).cast("int")
+    changed.withColumn("param_value", value).write.mode("append").parquet(names[-1].rpartition("/")[0])
+    for name in (names[0], names[-1]):
+        drop_folder(spark, name)
+    found = durable(verify_cache(spark, root, manifest).select("eqp_id", "d"))
+    exactly = found.exceptAll(harmed).isEmpty() and harmed.exceptAll(found).isEmpty()
+    fetch_stage.run(rows, specs, root, manifest, _AFTER, _WHOLE, verify=True)
+    healed = verify_cache(spark, root, manifest).isEmpty()
+    return _cache_content(spark, root, manifest).select(
+        "*", F.lit(first.source_rows).cast("bigint").alias("source_rows"), F.lit(exactly).alias("found_exactly"),
+        F.lit(healed).alias("healed"),
+    )
+
+
+@query
+def run_log_real(spark, sf_dir):
+    """The log of two refreshes by run and day."""
+    rows, specs = fx.readings(spark, sf_dir), fx.graded(fx.registrations(spark, sf_dir))
+    root, manifest, log = (scratch_table(spark, n) for n in ("readings", "manifest", "log"))
+    known = rows.where(F.col("act_time") < F.lit("2024-01-23 12:00:00").cast("timestamp_ntz"))
+    fetch_stage.run(known, specs, root, manifest, fx.date(2024, 1, 23), fx.SETTINGS, log)
+    fetch_stage.run(rows, specs, root, manifest, fx.RUN_DAY, fx.SETTINGS, log)
+    found = run_log.run_log_summary(read_run_log(spark, log), by=["timestamp", "d"])
+    return found.select(
+        "timestamp", "d", "checked", "uploaded", "empty", "skipped_existing", "failed", "rows",
+        ((F.col("avg_fetch_sec") > 0) & (F.col("avg_write_sec") > 0)).alias("has_times"),
+    )
+
+
+@query
+def planned_units(spark, sf_dir):
+    """The tool-days that the run date's plan asks for, with the rows to expect by the manifest's history."""
+    manifest = fx.cached_manifest(spark, sf_dir)
+    plan = cache.fetch_plan(fx.tools(spark, sf_dir), manifest, fx.run_day(), fx.SETTINGS)
+    return profile.estimated_rows(plan, manifest)
+
+
 @query
 def compact_chunks(spark, sf_dir):
     """Readings in chunk folders are rewritten per tool; the result is read back."""

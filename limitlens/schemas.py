@@ -10,6 +10,7 @@ _TYPES = {
     "INT": T.IntegerType(),
     "DATE": T.DateType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "WIDE": T.DecimalType(38, 0),
 }
 
 
@@ -53,10 +54,12 @@ CALENDAR = _schema("ww_start_date DATE, ww_end_date DATE, year_ww STRING")
 MANIFEST = _schema(
     "eqp_id STRING, row_count BIGINT, byte_size BIGINT, day_closed INT, d DATE"
 )
-# What a refresh stores: also a digest of the specs that the tool-day was read for.
+# What a refresh stores: also a digest of the specs that the tool-day was read for, and one of its rows.
 REFRESH_MANIFEST = _schema(
-    "eqp_id STRING, row_count BIGINT, byte_size BIGINT, day_closed INT, specs_digest STRING, d DATE"
+    "eqp_id STRING, row_count BIGINT, byte_size BIGINT, day_closed INT, specs_digest STRING, content_sum WIDE, d DATE"
 )
+# The specs behind each digest.
+SPEC_LEDGER = _schema("eqp_id STRING, specs_digest STRING, spec_id STRING")
 RUN_LOG = _schema(
     "timestamp STRING, out_name STRING, eqp_id STRING, d DATE, status STRING, est_rows BIGINT, "
     "actual_rows BIGINT, est_over_actual DOUBLE, nbytes_mb DOUBLE, fetch_sec DOUBLE, "

@@ -47,28 +47,32 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def drop_folder(spark: SparkSession, path: str) -> bool:
-    system, target = _file_system(spark, path)
+    system, target = file_system(spark, path)
     return system.delete(target, True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    system, target = _file_system(spark, path)
+    system, target = file_system(spark, path)
     return system.exists(target)
 
 
-def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
-    """Values of the ``column=value`` folders under a table's root; none if it does not exist."""
-    system, target = _file_system(spark, root)
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it does not exist."""
+    system, target = file_system(spark, path)
     if not system.exists(target):
         return []
-    names = [status.getPath().getName() for status in system.listStatus(target)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+    return sorted(status.getPath().getName() for status in system.listStatus(target))
+
+
+def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
+    """Values of the ``column=value`` folders under a table's root; none if it does not exist."""
+    return [n.split("=", 1)[1] for n in folder_names(spark, root) if n.startswith(f"{column}=")]
 
 
 def drop_partitions(spark: SparkSession, root: str, column: str, values: list[str]) -> int:
@@ -88,8 +92,8 @@ def drop_partitions(spark: SparkSession, root: str, column: str, values: list[st
 
 def replace_folder(spark: SparkSession, staged: str, final: str) -> None:
     """Put a finished table in the place of another one."""
-    system, source = _file_system(spark, staged)
-    _, target = _file_system(spark, final)
+    system, source = file_system(spark, staged)
+    _, target = file_system(spark, final)
     if system.exists(target):
         system.delete(target, True)
     system.mkdirs(target.getParent())

@@ -2,22 +2,25 @@
 
 from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import rows_of
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from limitlens import schemas
 from limitlens.config import Settings
 from limitlens.operators import cache, run_log
 from limitlens.plans import fetch_stage
-from limitlens.sinks.refresh import refresh_window
+from limitlens.sinks.refresh import refresh_window, verify_cache
 from limitlens.sinks.tables import purge_expired_days, write_days
+from limitlens.sources.cache import cache_table, cached_manifest, cached_readings, tool_bucket
 from limitlens.sources.tables import read_table
+from limitlens.versions import VersionedTable
 from limitlens.storage import partition_values
 
 END = date(2024, 1, 10)
-THREE = Settings(window_days=3)
+THREE = Settings(window_days=3, tool_buckets=4)
 
 
 def manifest(spark, rows):
@@ -114,11 +117,20 @@ def source_rows(last_day):
 
 
 def stored(spark, root):
-    return rows_of(read_table(spark, root, schemas.READINGS).select("eqp_id", "spec_id", "d", "param_value"))
+    return rows_of(cached_readings(spark, root).select("eqp_id", "spec_id", "d", "param_value"))
 
 
-def entries(spark, root):
-    return rows_of(read_table(spark, root, schemas.MANIFEST).select("eqp_id", "d", "row_count", "day_closed"))
+def entries(spark, manifest_root):
+    root = manifest_root.replace("manifest", "readings")
+    return rows_of(cached_manifest(spark, root, manifest_root).select("eqp_id", "d", "row_count", "day_closed"))
+
+
+def files(root):
+    """Data files by partition; their names tell which were written anew."""
+    out = {}
+    for path in Path(root).glob("data/v=*/d=*/b=*/*.parquet"):
+        out.setdefault("/".join(path.parts[-3:-1]), set()).add(path.name)
+    return out
 
 
 @pytest.fixture
@@ -148,7 +160,7 @@ def test_next_run_completes_the_open_day(spark, make_readings, catalog, roots):
     values = [v for t, _, d, v in stored(spark, roots[0]) if (t, d) == ("a", END)]
     assert sorted(values) == [10.0, 99.0]
     # Days that left the window are gone from both tables.
-    assert partition_values(spark, roots[0], "d") == ["2024-01-10", "2024-01-11", "2024-01-12"]
+    assert {p.split("/")[0] for p in files(roots[0])} == {"d=2024-01-10", "d=2024-01-11", "d=2024-01-12"}
     assert min(d for _, d, *_ in entries(spark, roots[1])) == END
 
 
@@ -180,37 +192,132 @@ def test_new_tool_keeps_the_cached_rows_of_others(spark, make_readings, make_cat
     assert len([r for r in after if r[0] == "z"]) == 2
 
 
-def test_run_that_died_before_the_manifest_is_repeated(spark, make_readings, catalog, roots):
+def test_new_tool_rewrites_only_its_bucket(spark, make_readings, make_catalog, catalog, roots):
+    source, end = make_readings(source_rows(10)), date(2024, 1, 11)
+    eight = replace(THREE, tool_buckets=8)
+    refresh_window(source, catalog, *roots, end, eight)
+    before = files(roots[0])
+    more = catalog.union(make_catalog([("z", "z-1", "PATTERN_A", "G1", "U1")]))
+    result = refresh_window(source, more, *roots, end, replace(THREE, tool_buckets=3))  # the table keeps its eight
+    after = files(roots[0])
+    (bucket,) = {r.b for r in spark.range(1).select(F.lit("z").alias("eqp_id")).select(tool_bucket(8).alias("b")).collect()}
+    closed = {f"d=2024-01-{day:02d}/b={bucket}" for day in (9, 10)}
+    assert closed <= set(result.parts) <= closed | {p for p in result.parts if p.startswith("d=2024-01-11")}
+    assert {p: f for p, f in after.items() if p not in result.parts} == {p: f for p, f in before.items() if p not in result.parts}
+    assert all(after[p] != before.get(p) for p in closed)
+    assert result.source_rows == 2 and result.planned_tool_days == 2 + 4
+
+
+def test_new_spec_is_read_alone_and_a_dropped_one_not_at_all(spark, make_readings, make_catalog, catalog, roots):
+    source, end = make_readings(source_rows(10)), date(2024, 1, 11)
+    refresh_window(source, catalog, *roots, end, THREE)
+    more = catalog.union(make_catalog([("b", "b-9", "PATTERN_A", "G1", "U1")]))
+    grown = refresh_window(source, more, *roots, end, THREE)
+    assert grown.source_rows == 2 and grown.rows_written == 4  # the other tool's files stay
+    both = stored(spark, roots[0])
+    # The same change again has nothing left to do but the open day.
+    assert refresh_window(source, more, *roots, end, THREE).source_rows == 0 and stored(spark, roots[0]) == both
+    fewer = more.where("spec_id <> 'b-1'")
+    shrunk = refresh_window(source, fewer, *roots, end, THREE)
+    assert shrunk.source_rows == 0 and {r[1] for r in stored(spark, roots[0])} == {"a-1", "b-9"}
+    # A change back reads the readings again, and only those.
+    assert refresh_window(source, more, *roots, end, THREE).source_rows == 2
+    assert stored(spark, roots[0]) == both
+
+
+@pytest.mark.parametrize("step", ["commit", "clear"])
+def test_run_that_dies_is_repeated(spark, make_readings, catalog, roots, monkeypatch, step):
     source = make_readings(source_rows(10))
     refresh_window(source, catalog, *roots, END, THREE)
-    content = stored(spark, roots[0])
-    (lost,) = [d for d in partition_values(spark, roots[1], "d") if d == "2024-01-09"]
-    from limitlens.storage import drop_partitions
-
-    assert drop_partitions(spark, roots[1], "d", [lost]) == 1
-    result = refresh_window(source, catalog, *roots, END, THREE)
-    assert date(2024, 1, 9) in result.days and stored(spark, roots[0]) == content
+    content, listed = stored(spark, roots[0]), entries(spark, roots[1])
+    late = make_readings(source_rows(10) + [("a", "a-1", 99.0, "2024-01-10T23:00:00")])
 
+    def dies(*_, **__):
+        raise KeyboardInterrupt
 
-def test_damaged_day_is_dropped_and_fetched_again(spark, make_readings, catalog, roots, tmp_path, monkeypatch):
+    monkeypatch.setattr(VersionedTable, step, dies)
+    with pytest.raises(KeyboardInterrupt):
+        refresh_window(late, catalog, *roots, END, THREE)
+    monkeypatch.undo()
+    if step == "commit":  # nobody sees anything of it
+        assert stored(spark, roots[0]) == content and entries(spark, roots[1]) == listed
+    result = refresh_window(late, catalog, *roots, END, THREE)
+    assert result.days == [END] and len(stored(spark, roots[0])) == len(content) + 1
+    now = cache_table(spark, roots[0]).record()
+    for root in roots:
+        assert {p.name.removeprefix("v=") for p in (Path(root) / "data").iterdir()} == set(now.parts.values())
+
+
+def test_one_unreadable_day_does_not_stop_the_others(spark, make_readings, catalog, roots, tmp_path):
+    path, log = tmp_path / "source", str(tmp_path / "log")
+    make_readings(source_rows(10)).coalesce(1).write.partitionBy("d").parquet(str(path))
+    (bad,) = (path / "d=2024-01-09").glob("*.parquet")
+    whole = bad.read_bytes()
+    bad.write_bytes(b"no parquet at all")
+    Path(f"{bad.parent}/.{bad.name}.crc").unlink()
+    source = spark.read.schema(schemas.READINGS).parquet(str(path))
+    result = refresh_window(source, catalog, *roots, END, THREE, log)
+    assert result.days_dropped == [date(2024, 1, 9)] and result.rows_written == 4
+    assert {str(r[2]) for r in stored(spark, roots[0])} == {"2024-01-08", "2024-01-10"}
+    found = read_table(spark, log, schemas.RUN_LOG)
+    failed = run_log.failed_units(found)
+    assert {(r.eqp_id, str(r.d), r.stage) for r in failed.collect()} == {(t, "2024-01-09", "fetch") for t in "abc"}
+    (summary,) = run_log.run_log_summary(found).collect()
+    assert (summary.checked, summary.uploaded, summary.empty, summary.failed_fetch, summary.failed_upload) == (9, 4, 2, 3, 0)
+    assert summary.avg_fetch_sec > 0 and summary.avg_write_sec > 0
+    bad.write_bytes(whole)
+    source = spark.read.schema(schemas.READINGS).parquet(str(path))
+    again = refresh_window(source, catalog, *roots, END, THREE, log, attempt=2)
+    assert again.days == [date(2024, 1, 9), END] and len(stored(spark, roots[0])) == 6
+    assert run_log.failed_units(read_table(spark, log, schemas.RUN_LOG)).isEmpty()
+    second = read_table(spark, log, schemas.RUN_LOG).where("attempt = 2")
+    assert second.where("status = 'skipped_existing'").count() == 3
+
+
+@pytest.mark.parametrize("column", ["row_count", "content_sum"])
+def test_a_version_that_differs_is_not_used(spark, make_readings, catalog, roots, tmp_path, monkeypatch, column):
     from limitlens.sinks import refresh
 
     source, log = make_readings(source_rows(10)), str(tmp_path / "log")
-    honest = refresh.stored_manifest
-
-    def short(*args):
-        found = honest(*args)
-        return found.withColumn("row_count", F.when(F.col("d") == "2024-01-09", 0).otherwise(F.col("row_count")))
-
-    monkeypatch.setattr(refresh, "stored_manifest", short)
-    result = refresh_window(source, catalog, *roots, END, THREE, log)
-    assert result.days_dropped == [date(2024, 1, 9)]
-    assert "2024-01-09" not in partition_values(spark, roots[0], "d") + partition_values(spark, roots[1], "d")
+    refresh_window(source, catalog, *roots, END, THREE)
+    before = stored(spark, roots[0])
+    honest = refresh.stored_tool_days
+    wrong = F.when(F.col("d") == "2024-01-11", F.col(column) + 1).otherwise(F.col(column))
+    monkeypatch.setattr(refresh, "stored_tool_days", lambda *a, **k: honest(*a, **k).withColumn(column, wrong))
+    late = make_readings(source_rows(12))
+    result = refresh_window(late, catalog, *roots, date(2024, 1, 12), replace(THREE, window_days=4), log)
+    assert result.days_dropped == [date(2024, 1, 11)]
+    # The other days are stored, and what was there before stays.
+    assert {r[2].day for r in stored(spark, roots[0])} == {8, 9, 10, 12} and set(before) <= set(stored(spark, roots[0]))
     failed = run_log.failed_units(read_table(spark, log, schemas.RUN_LOG))
-    assert {(r.eqp_id, str(r.d)) for r in failed.collect()} == {(t, "2024-01-09") for t in "abc"}
+    assert {(r.eqp_id, r.d.day, r.stage) for r in failed.collect()} == {(t, 11, "upload") for t in "abc"}
     monkeypatch.undo()
-    assert date(2024, 1, 9) in refresh_window(source, catalog, *roots, END, THREE).days
-    assert len(stored(spark, roots[0])) == 6 and len(entries(spark, roots[1])) == 9
+    assert date(2024, 1, 11) in refresh_window(late, catalog, *roots, date(2024, 1, 12), THREE).days
+    assert {r[2].day for r in stored(spark, roots[0])} == {8, 9, 10, 11, 12}
+
+
+def test_a_removed_file_and_a_changed_value_are_found_and_healed(spark, make_readings, catalog, roots):
+    source, end = make_readings(source_rows(11)), date(2024, 1, 12)
+    settings = replace(THREE, window_days=5, tool_buckets=2)
+    refresh_window(source, catalog, *roots, end, settings)
+    content, listed = stored(spark, roots[0]), entries(spark, roots[1])
+    assert verify_cache(spark, *roots).isEmpty()
+    found = sorted(Path(roots[0]).glob("data/v=*/d=*/b=*/*.parquet"))
+    removed, changed = found[0], found[-1]
+    lost = {r.eqp_id for r in spark.read.parquet(str(removed)).collect()}
+    rows = spark.read.parquet(str(changed)).withColumn("param_value", F.when(F.col("eqp_id") == F.first("eqp_id").over(
+        Window.orderBy("eqp_id")), F.col("param_value") + 1).otherwise(F.col("param_value")))
+    hit = {(min(r.eqp_id for r in rows.collect()), int(str(changed).split("d=2024-01-")[1][:2]))}
+    rows.write.mode("append").parquet(str(changed.parent))
+    changed.unlink()
+    removed.unlink()
+    lost = {(t, int(str(removed).split("d=2024-01-")[1][:2])) for t in lost}
+    bad = {(r.eqp_id, r.d.day): r.status for r in verify_cache(spark, *roots).collect()}
+    assert set(bad) == lost | hit and all(bad[k] == "mismatch" for k in hit - lost)
+    result = refresh_window(source, catalog, *roots, end, settings, verify=True)
+    assert result.planned_tool_days == len(lost | hit) + 3  # and the open day
+    assert stored(spark, roots[0]) == content and entries(spark, roots[1]) == listed
+    assert verify_cache(spark, *roots).isEmpty()
 
 
 def test_purge(spark, make_readings, tmp_path):
@@ -248,19 +355,3 @@ def test_new_spec_of_a_cached_tool_gets_its_closed_days(spark, make_readings, ma
     assert result.planned_tool_days == 5 and [r for r in after if r[1] != "b-9"] == before
     assert sorted(str(r[2]) for r in after if r[1] == "b-9") == ["2024-01-09", "2024-01-10"]
     assert refresh_window(source, more, *roots, end, THREE).planned_tool_days == 3
-
-
-def test_rows_of_exchanged_tools_are_noticed(spark, make_readings, catalog, roots, monkeypatch):
-    from limitlens.sinks import refresh
-
-    def exchanged(spark, root, schema):
-        rows = read_table(spark, root, schema)
-        if root != roots[0]:
-            return rows
-        other = F.when(F.col("eqp_id") == "a", "b").when(F.col("eqp_id") == "b", "a").otherwise(F.col("eqp_id"))
-        return rows.withColumn("eqp_id", other)
-
-    monkeypatch.setattr(refresh, "read_table", exchanged)
-    result = refresh_window(make_readings(source_rows(10)), catalog, *roots, END, THREE)
-    # The totals of the days are right, their rows are not.
-    assert [d.day for d in result.days_dropped] == [8, 9, 10] and entries(spark, roots[1]) == []

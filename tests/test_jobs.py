@@ -15,6 +15,7 @@ from limitlens.operators.verdict import calculations, confirm
 from limitlens.plans import report_stage, weekly
 from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
+from limitlens.sources.cache import cached_readings
 from limitlens.sources.reports import prior_week_fails, report_week
 from limitlens.sources.tables import read_files, read_run_log, read_table, renamed, stored_files
 from limitlens.storage import path_exists, scratch_table, shared_folder
@@ -143,7 +144,7 @@ def test_two_weeks(spark, spec_sources, tmp_path):
 
     log = read_table(spark, roots.log, schemas.RUN_LOG)
     (summary,) = run_log_summary(log).collect()
-    assert summary.rows == read_table(spark, roots.readings, schemas.READINGS).count() + readings.where(
+    assert summary.rows == cached_readings(spark, roots.readings).count() + readings.where(
         F.col("d") < F.lit(date(2024, 1, 8))
     ).join(catalog, "spec_id", "left_semi").count() + readings.where("d = '2024-01-23'").join(
         catalog, "spec_id", "left_semi"
