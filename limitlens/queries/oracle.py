@@ -518,7 +518,7 @@ select eqp_id, spec_id, pattern, grade, upper_spec, lower_spec, tolerance, type
     "compact_twice": f"""
 with {READINGS}
 select * from readings
-where case when eqp_id::bigint % 3 = 0 then processid <> 'error' else eqp_id::bigint % 2 = 1 end""",
+where eqp_id::bigint % 3 <> 0 or processid <> 'error'""",
     "purge_window": f"""
 with {READINGS}
 select eqp_id, d, count(*) as rows, max(reading_id) as last_reading
@@ -529,3 +529,4 @@ with {_LOG} select eqp_id, d, stage, error from done where status = 'failed' and
 with {READINGS}
 select distinct 'd=' || cast(d as varchar) as folder, true as has_size from readings""",
 }
+ORACLE["compact_resumed"] = ORACLE["compact_twice"]

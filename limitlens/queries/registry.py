@@ -572,15 +572,17 @@ def planned_units(spark, sf_dir):
     return profile.estimated_rows(plan, manifest)
 
 
+def _chunks(rows: DataFrame, source: str) -> None:
+    chunk = F.pmod(F.xxhash64("spec_id"), F.lit(3)).cast("int")
+    rows.withColumn("chunk_idx", chunk).write.mode("append").partitionBy("chunk_idx").parquet(source)
+
+
 @query
 def compact_chunks(spark, sf_dir):
     """Readings in chunk folders are rewritten per tool; the result is read back."""
-    source, staged, final = (scratch_table(spark, n) for n in ("chunks", "staged", "final"))
-    rows = fx.readings(spark, sf_dir)
-    rows.withColumn("chunk_idx", F.pmod(F.xxhash64("spec_id"), F.lit(3)).cast("int")).write.partitionBy(
-        "chunk_idx"
-    ).parquet(source)
-    return sinks.compact_chunks(spark, source, staged, final)
+    source, final = scratch_table(spark, "chunks"), scratch_table(spark, "final")
+    _chunks(fx.readings(spark, sf_dir), source)
+    return sinks.compact_chunks(spark, source, final)
 
 
 @query
@@ -663,21 +665,33 @@ def catalog_republish(spark, sf_dir):
     )
 
 
+def _fewer(rows: DataFrame) -> DataFrame:
+    """Every third tool's readings without errors: what a second compaction replaces these tools with."""
+    return rows.where((F.col("eqp_id").cast("long") % 3 == 0) & (F.col("processid") != "error"))
+
+
 @query
 def compact_twice(spark, sf_dir):
-    """Chunks of the odd tools, then of every third tool again without errors, into one target."""
-    final = scratch_table(spark, "final")
-    rows = fx.readings(spark, sf_dir)
-    number = F.col("eqp_id").cast("long")
-    parts = (rows.where(number % 2 == 1), rows.where((number % 3 == 0) & (F.col("processid") != "error")))
-    for part in parts:
-        source, staged = scratch_table(spark, "chunks"), scratch_table(spark, "staged")
-        chunk = F.pmod(F.xxhash64("spec_id"), F.lit(3)).cast("int")
-        part.withColumn("chunk_idx", chunk).write.partitionBy("chunk_idx").parquet(source)
-        found = sinks.compact_chunks(spark, source, staged, final)
+    """Chunks of all readings, then of every third tool again without errors, into one target."""
+    final, rows = scratch_table(spark, "final"), fx.readings(spark, sf_dir)
+    for part in (rows, _fewer(rows)):
+        source = scratch_table(spark, "chunks")
+        _chunks(part, source)
+        found = sinks.compact_chunks(spark, source, final)
     return found
 
 
+@query
+def compact_resumed(spark, sf_dir):
+    """As ``compact_twice``, but either run dies once before its version is used and once before its chunks are deleted."""
+    source, final, rows = scratch_table(spark, "chunks"), scratch_table(spark, "final"), fx.readings(spark, sf_dir)
+    for part in (rows, _fewer(rows)):
+        _chunks(part, source)
+        sinks.stage_compaction(spark, source, final)
+        sinks.use_compaction(spark, final, sinks.stage_compaction(spark, source, final))
+    return sinks.compact_chunks(spark, source, final)
+
+
 @query
 def purge_window(spark, sf_dir):
     """What is left of the stored readings after the days before 2024-01-08 were dropped."""

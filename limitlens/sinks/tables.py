@@ -3,23 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from limitlens import schemas
-from limitlens.storage import (
-    drop_folder,
-    drop_partitions,
-    partition_values,
-    path_exists,
-    replace_folder,
-)
+from limitlens.operators.heat import broadcast_if_small
+from limitlens.sources.tables import read_files, stored_files
+from limitlens.storage import drop_partitions, partition_values, path_exists
+from limitlens.versions import Record, VersionedTable
 
 ROWS_PER_FILE = 20_000_000
 
 
-# Compacted readings are kept in so many tool buckets; a property of the table, not of a run.
-TOOL_BUCKETS = 64
+# A bucket of a new compacted table holds about so many bytes of the first chunks; their number is a property of the table.
+BUCKET_BYTES, MOST_BUCKETS = 256 << 20, 4096
 
 
 def _overwrite(df: DataFrame, root: str, by: str, codec: str = "zstd", owned: Sequence[str] = ()) -> None:
@@ -100,28 +99,54 @@ def append_run_log(log: DataFrame, root: str, kind: str = "parquet") -> None:
     log.select(*columns).write.mode("append").format(kind).option("header", True).save(root)
 
 
-def compact_chunks(
-    spark: SparkSession, source: str, staging: str, final: str, drop: str = "chunk_idx"
-) -> DataFrame:
-    """Rewrite the chunk files under ``source`` as few large files, sorted by tool, at ``final``.
+@dataclass(frozen=True)
+class Compaction:
+    """A written and proved, but not yet used version of the compacted table, and the chunk files that can go with its use."""
 
-    The tools that have chunks are replaced, all others keep what ``final`` holds of them: only
-    the buckets of those tools are written anew, merged with their other tools' rows. They are
-    written beside the target and moved only when the row counts agree; the chunks are
-    deleted last, so an interrupted run loses nothing.
+    record: Record
+    version: str | None
+    parts: tuple[str, ...]
+    buckets: int
+    chunks: tuple[str, ...]
+
+
+def compacted_table(spark: SparkSession, root: str, schema: T.StructType = schemas.READINGS) -> VersionedTable:
+    return VersionedTable(spark, root, schema, (("b", T.IntegerType()),))
+
+
+def compacted_readings(spark: SparkSession, root: str, schema: T.StructType = schemas.READINGS) -> DataFrame:
+    """What the compacted table holds; empty before the first compaction."""
+    return compacted_table(spark, root, schema).read().select(*schema.names)
+
+
+def stage_compaction(
+    spark: SparkSession, source: str, final: str, schema: T.StructType = schemas.READINGS, broadcast_rows: int = 500_000
+) -> Compaction:
+    """Write the tools that have chunks under ``source``, and what their buckets hold of others, as a new version.
+
+    Nothing that anybody reads is changed. The chunk files are listed once: files that arrive later wait
+    for the next compaction.
     """
-    bucket = F.pmod(F.xxhash64("eqp_id"), F.lit(TOOL_BUCKETS)).cast("int").alias("b")
-    chunks = spark.read.parquet(source).drop(drop)
-    columns = chunks.columns
-    rows = chunks.select(*columns, bucket)
-    if path_exists(spark, final):
+    table = compacted_table(spark, final, schema)
+    record = table.record()
+    listed = stored_files(spark, source).collect() if path_exists(spark, source) else []  # a row per file
+    there = {r.file_path for r in listed}
+    used = there & set(record.retired)  # of a former run that could not delete them yet
+    files = tuple(sorted(there - used))
+    size = sum(r.file_size for r in listed)
+    buckets = record.properties.get("buckets") or max(1, min(MOST_BUCKETS, -(-size // BUCKET_BYTES)))
+    if not files:
+        return Compaction(record, None, (), buckets, ())
+    bucket = F.pmod(F.xxhash64("eqp_id"), F.lit(buckets)).cast("int").alias("b")
+    rows = read_files(spark, files, schema).select(*schema.names, bucket)
+    touched: list[str] = []
+    if record.parts:
         tools = rows.select("eqp_id", "b").distinct()
-        before = spark.read.parquet(final).select(*columns, "b")
-        others = before.join(tools.select("b").distinct(), "b", "left_semi").join(
-            tools.select("eqp_id"), "eqp_id", "left_anti"
-        )
+        touched = [table.part(r.b) for r in tools.select("b").distinct().collect()]  # at most one per bucket
+        replaced = broadcast_if_small(tools.select("eqp_id"), broadcast_rows)
+        others = table.read(record, touched).join(replaced, "eqp_id", "left_anti")
         rows = rows.unionByName(others.select(*rows.columns))
-    counted = Observation()
+    version, counted = table.new_version(), Observation()
     (
         rows.observe(counted, F.count("*").alias("n"))
         .hint("rebalance", F.col("b"))
@@ -129,16 +154,36 @@ def compact_chunks(
         .write.partitionBy("b")
         .option("compression", "zstd")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
-        .mode("overwrite")
-        .parquet(staging)
+        .parquet(table.folder(version))
     )
-    if spark.read.schema(rows.schema).parquet(staging).count() != counted.get["n"]:
-        raise ValueError(f"compaction of {staging} lost rows; the chunks are kept")
-    for value in partition_values(spark, staging, "b"):
-        replace_folder(spark, f"{staging}/b={value}", f"{final}/b={value}")
-    drop_folder(spark, staging)
-    drop_folder(spark, source)
-    return spark.read.schema(rows.schema).parquet(final).select(*columns)
+    written = {f"b={v}" for v in partition_values(spark, table.folder(version), "b")}
+    if table.read(versions=[version]).count() != counted.get["n"]:
+        raise ValueError(f"compaction of {source} lost rows; the version is not used and the chunks stay")
+    return Compaction(record, version, tuple(sorted(written | set(touched))), buckets, (*files, *sorted(used)))
+
+
+def use_compaction(spark: SparkSession, final: str, staged: Compaction, schema: T.StructType = schemas.READINGS) -> None:
+    """From here on the version is what readers see, and its chunks are used up; one step."""
+    table = compacted_table(spark, final, schema)
+    if staged.version is not None:
+        table.commit(staged.record, dict.fromkeys(staged.parts, staged.version), {"buckets": staged.buckets}, staged.chunks)
+
+
+def compact_chunks(
+    spark: SparkSession, source: str, final: str, schema: T.StructType = schemas.READINGS, broadcast_rows: int = 500_000
+) -> DataFrame:
+    """Rewrite the chunk files under ``source`` as few large files, sorted by tool, at ``final``.
+
+    The tools that have chunks are replaced, all others keep what ``final`` holds of them: only
+    the buckets of those tools are written anew, merged with their other tools' rows. A run that is
+    interrupted loses nothing, wherever: before the switch the former version and all chunks are there, after
+    it the record lists the chunk files that are used up, and the next run deletes exactly these before it begins.
+    """
+    table = compacted_table(spark, final, schema)
+    table.clear()
+    use_compaction(spark, final, stage_compaction(spark, source, final, schema, broadcast_rows), schema)
+    table.clear()
+    return compacted_readings(spark, final, schema)
 
 
 def purge_expired_days(spark: SparkSession, root: str, oldest_kept: str) -> int:

@@ -88,14 +88,3 @@ def drop_partitions(spark: SparkSession, root: str, column: str, values: list[st
         except Exception as error:  # whatever the file system raises through the gateway
             warnings.warn(f"{path} was not deleted: {error}", stacklevel=2)
     return dropped
-
-
-def replace_folder(spark: SparkSession, staged: str, final: str) -> None:
-    """Put a finished table in the place of another one."""
-    system, source = file_system(spark, staged)
-    _, target = file_system(spark, final)
-    if system.exists(target):
-        system.delete(target, True)
-    system.mkdirs(target.getParent())
-    if not system.rename(source, target):
-        raise OSError(f"could not move {staged} to {final}")

@@ -51,17 +51,84 @@ def test_run_log_appends(spark, tmp_path, kind):
     assert rows_of(found) == [("a", "wrote", 7, None)] * 2
 
 
+def chunk_files(make_readings, source, tools, days, chunk=0):
+    rows = [(t, f"{t}-1", float(d), f"2024-01-{d:02d}T00:00:00", 100.0, d) for t in tools for d in days]
+    make_readings(rows).withColumn("chunk_idx", F.lit(chunk)).coalesce(2).write.mode("append").partitionBy("chunk_idx").parquet(source)
+
+
+def held(spark, final):
+    found = {}
+    for row in sinks.compacted_readings(spark, final).select("eqp_id", "reading_id").collect():
+        found.setdefault(row.eqp_id, []).append(row.reading_id)
+    return {t: sorted(ids) for t, ids in found.items()}
+
+
 def test_compaction_keeps_every_row(spark, make_readings, tmp_path):
-    source, staged, final = (str(tmp_path / n) for n in ("chunks", "staged", "final"))
+    source, final = str(tmp_path / "chunks"), str(tmp_path / "final")
     readings = make_readings([(f"t{i % 5}", f"t{i % 5}-1", float(i), f"2024-01-{1 + i % 9:02d}T00:00:00") for i in range(200)])
     readings.withColumn("chunk_idx", F.col("reading_id") % 20).repartition(20).write.partitionBy("chunk_idx").parquet(source)
     before = stored_files(spark, source).count()
-    found = sinks.compact_chunks(spark, source, staged, final)
+    found = sinks.compact_chunks(spark, source, final)
     assert rows_of(found.select("reading_id", "param_value")) == rows_of(readings.select("reading_id", "param_value"))
-    assert not path_exists(spark, source) and not path_exists(spark, staged)
-    files = [r.file_path for r in stored_files(spark, final).collect()]
+    assert stored_files(spark, source).isEmpty()
+    files = [r.file_path for r in stored_files(spark, f"{final}/data").collect()]
     assert len(files) < before
     assert read_files(spark, files, schemas.READINGS).count() == 200
+    # Without chunks nothing happens.
+    assert sinks.compact_chunks(spark, source, final).count() == 200
+    assert sinks.compact_chunks(spark, str(tmp_path / "none"), final).count() == 200
+
+
+class Lost(BaseException):
+    """The driver is gone."""
+
+
+@pytest.mark.parametrize("step", ["write", "commit", "delete", "half"])
+def test_an_interrupted_compaction_loses_nothing(spark, make_readings, tmp_path, monkeypatch, step):
+    from limitlens import versions
+
+    monkeypatch.setattr(sinks, "BUCKET_BYTES", 1 << 60)  # one bucket: all tools share it
+    source, final = str(tmp_path / "chunks"), str(tmp_path / "final")
+    chunk_files(make_readings, source, ["a", "c"], range(1, 11))
+    sinks.compact_chunks(spark, source, final)
+    chunk_files(make_readings, source, ["b"], range(1, 8), 1)
+    chunk_files(make_readings, source, ["c"], range(20, 23), 2)
+    want = {"a": list(range(1, 11)), "b": list(range(1, 8)), "c": [20, 21, 22]}
+    deleted = []
+
+    def dies(*_, **__):
+        raise Lost
+
+    def dies_later(spark_, path):
+        if "chunk_idx" in path and deleted:
+            raise Lost
+        gone = honest(spark_, path)
+        if gone and "chunk_idx" in path:
+            deleted.append(path)
+        return gone
+
+    honest = versions.drop_folder
+    with monkeypatch.context() as patch:
+        if step == "write":  # the version is written, its proof is not
+            patch.setattr(sinks, "partition_values", dies)
+        elif step == "commit":
+            patch.setattr(versions.VersionedTable, "commit", dies)
+        elif step == "delete":
+            patch.setattr(sinks, "compacted_readings", dies)
+            patch.setattr(versions.VersionedTable, "clear", lambda self: None)
+        else:
+            patch.setattr(versions, "drop_folder", dies_later)
+        with pytest.raises(Lost):
+            sinks.compact_chunks(spark, source, final)
+    # Readers have the old state or the new one, whole.
+    assert held(spark, final) == (want if step in ("delete", "half") else {"a": list(range(1, 11)), "c": list(range(1, 11))})
+    # New chunks come before the run is repeated: they are not taken for used ones.
+    chunk_files(make_readings, source, ["d"], [5], 1)
+    sinks.compact_chunks(spark, source, final)
+    assert held(spark, final) == want | {"d": [5]}
+    assert stored_files(spark, source).isEmpty()
+    record = sinks.compacted_table(spark, final).record()
+    assert {p.name.removeprefix("v=") for p in (tmp_path / "final" / "data").iterdir()} == set(record.parts.values())
 
 
 def test_old_column_names(spark):
