@@ -1,9 +1,10 @@
 """Exact quantiles of groups that are too big for one task.
 
-``percentile`` holds every distinct value of a group in one task. Here a group is never
-gathered: a mergeable sketch brackets each wanted rank, a second pass counts the values
-outside the brackets and keeps only those inside, and the exact rank is then read off. Both
-passes combine on the map side. The result equals ``percentile`` (linear interpolation).
+``percentile`` holds every distinct value of a group in one task. Here a group is never gathered: equal
+values are counted where they lie, the distinct ones are sorted over the whole cluster by key
+and value, and the rows counted in each (key, partition) turn a wanted rank into a place in one partition.
+Only the partitions that hold a wanted rank are looked into. Nothing is estimated, so nothing can be
+missed: the result equals ``percentile`` (linear interpolation) for any values.
 """
 
 from __future__ import annotations
@@ -12,23 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Width of a bracket on each side, in units of the sketch's rank error.
-_SLACK = 3
-
-
-def sketch_accuracy(smallest_group: int, largest_group: int) -> int:
-    """Sketch accuracy that leaves about a million readings inside one bracket.
-
-    A bracket must also be wider than one rank of the smallest group; half of its readings
-    may have been rejected as outliers.
-    """
-    wanted = min(1_000_000, max(10_000, 2 * _SLACK * largest_group // 1_000_000))
-    return max(1, min(wanted, smallest_group // 2))
-
-
-def _brackets(probs: Sequence[float], accuracy: int) -> list[float]:
-    step = _SLACK / accuracy
-    return [edge for p in probs for edge in (max(0.0, p - step), min(1.0, p + step))]
+from limitlens.storage import scratch_table, stored
 
 
 def _interpolate(low: Column, high: Column, position: Column) -> Column:
@@ -43,72 +28,43 @@ def large_group_quantiles(
     value: Column,
     probs: Sequence[float],
     out: str,
-    accuracy: int = 10_000,
-    side: Callable[[DataFrame], DataFrame] = F.broadcast,
+    side: Callable[[DataFrame], DataFrame] = lambda per_group: per_group,
+    root: str | None = None,
 ) -> DataFrame:
-    """One row per key with the array ``out`` of exact quantiles of ``value``.
+    """One row per key with the array ``out`` of exact quantiles of ``value``; a key without values has no row.
 
-    Callers pass only the groups that a size profile found to be large, see
-    ``operators.heat``; ``side`` hints how their one-row-per-group sketch is joined.
+    Callers pass only the groups that a size profile found to be large, see ``operators.heat``; ``side`` hints how
+    a side with a few rows per group is joined. The sorted distinct values are kept at
+    ``root`` (default: a new scratch table) until the result has been used.
     """
-    values = df.select(*keys, value.alias("_v")).where("_v is not null")
-    cuts = _brackets(probs, accuracy)
-    sketch = values.groupBy(*keys).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", cuts, F.lit(accuracy)).alias("_edges"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-    )
-
-    inside = F.lit(False)
-    gap = F.lit(0)
-    for i in range(len(probs)):
-        # The ends are known exactly; the sketch only estimates what lies between.
-        low = F.col("_edges")[2 * i] if cuts[2 * i] > 0 else F.col("_min")
-        high = F.col("_edges")[2 * i + 1] if cuts[2 * i + 1] < 1 else F.col("_max")
-        inside = inside | F.col("_v").between(low, high)
-        gap = gap + (F.col("_v") > high).cast("int")
-
-    # One row per distinct value inside a bracket, one row for each gap between brackets.
-    steps = (
-        values.join(side(sketch), list(keys))
-        .withColumn("_kept", F.when(inside, F.col("_v")))
-        .withColumn("_gap", F.when(~inside, gap))
-        .groupBy(*keys, "_gap", "_kept")
-        .agg(
-            F.count("*").alias("_c"),
-            F.min("_v").alias("_low"),
-            F.max("_v").alias("_high"),
-            F.max("_n").alias("_n"),
-        )
+    keys = list(keys)
+    counted = df.select(*keys, value.alias("_v")).where("_v is not null").groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    # Written once: a partition's number means the same in every pass.
+    dealt = stored(
+        counted.repartitionByRange(*keys, "_v").withColumn("_p", F.spark_partition_id()),
+        root or scratch_table(df.sparkSession, "ranks"),
     )
-    up_to_here = Window.partitionBy(*keys).orderBy("_low").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = steps.withColumn("_upto", F.sum("_c").over(up_to_here)).withColumn(
-        "_before", F.col("_upto") - F.col("_c")
-    )
-
-    # A rank inside a gap would mean a sketch outside its error bound: stop, never guess.
-    exact = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
-        F.raise_error(F.lit("quantile rank outside its bracket; raise the sketch accuracy"))
+    group = Window.partitionBy(*keys)
+    sizes = dealt.groupBy(*keys, "_p").agg(F.sum("_c").alias("_in"))
+    shares = sizes.select(  # a row per key and partition
+        *keys, "_p", (F.sum("_in").over(group.orderBy("_p")) - F.col("_in")).alias("_before"),
+        F.col("_in"), F.sum("_in").over(group).alias("_n"),
     )
+    positions = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    ranks = [rank for position in positions for rank in (F.floor(position), F.ceil(position))]
+    here = F.exists(F.array(*ranks), lambda r: (F.col("_before") <= r) & (r < F.col("_before") + F.col("_in")))
+    looked_into = dealt.join(side(shares.where(here).drop("_in")), [*keys, "_p"])
+    inside = Window.partitionBy(*keys, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = looked_into.withColumn("_upto", F.col("_before") + F.sum("_c").over(inside))
 
     def at(rank: Column) -> Column:
-        hit = (F.col("_before") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(hit, exact))
+        return F.max(F.when((F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto")), F.col("_v")))
 
-    positions = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    picks = []
-    for i, position in enumerate(positions):
-        picks += [at(F.floor(position)).alias(f"_f{i}"), at(F.ceil(position)).alias(f"_c{i}")]
+    picks = [at(rank).alias(f"_r{i}") for i, rank in enumerate(ranks)]
     found = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
     return found.select(
         *keys,
-        F.array(
-            *[
-                _interpolate(F.col(f"_f{i}"), F.col(f"_c{i}"), position)
-                for i, position in enumerate(positions)
-            ]
-        ).alias(out),
+        F.array(*[
+            _interpolate(F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}"), position) for i, position in enumerate(positions)
+        ]).alias(out),
     )

@@ -11,8 +11,6 @@ from limitlens.storage import durable
 
 # Beyond this many large groups their keys stay a table and are not taken to the driver.
 MAX_LISTED_GROUPS = 10_000
-# Beyond this many large groups, nothing that has a row per large group is broadcast.
-MAX_BROADCAST_GROUPS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -38,7 +36,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 
 def split_by_heat(
-    df: DataFrame, keys: Sequence[str], hot_rows: int, counted: DataFrame | None = None
+    df: DataFrame, keys: Sequence[str], hot_rows: int, counted: DataFrame | None = None, broadcast_rows: int = 500_000
 ) -> Heat:
     """Split off the groups with more than ``hot_rows`` rows. A group is never cut in two.
 
@@ -56,7 +54,7 @@ def split_by_heat(
         few, large = True, df.sparkSession.createDataFrame(listed, sizes.schema).select(*keys)
     else:
         large = durable(sizes.select(*keys))
-        few = large.count() <= MAX_BROADCAST_GROUPS
+        few = large.count() <= broadcast_rows
     if few:
         large = F.broadcast(large)
     return Heat(

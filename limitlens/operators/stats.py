@@ -14,7 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from limitlens.config import TAIL_HIGH, TAIL_LOW, Settings
-from limitlens.functions.quantiles import large_group_quantiles, sketch_accuracy
+from limitlens.functions.quantiles import large_group_quantiles
 from limitlens.operators.heat import Heat, broadcast_if_small, split_by_heat
 from limitlens.storage import scratch_table, stored
 
@@ -50,21 +50,13 @@ def outlier_bounds(
     """Tukey fences ``Q1 - k*IQR`` and ``Q3 + k*IQR`` for each key."""
     keys = list(keys)
     values = usable_readings(readings, keys).select(*keys, _VALUE)
-    heat = split_by_heat(values, keys, settings.hot_rows)
+    heat = split_by_heat(values, keys, settings.hot_rows, broadcast_rows=settings.broadcast_rows)
     quartiles = heat.cold.groupBy(*keys).agg(
         F.percentile(_VALUE, _doubles(_QUARTILES)).alias("_q")
     )
     if heat.hot is not None:
         quartiles = quartiles.unionByName(
-            large_group_quantiles(
-                heat.hot,
-                keys,
-                F.col(_VALUE),
-                _QUARTILES,
-                "_q",
-                sketch_accuracy(settings.hot_rows, heat.largest),
-                heat.side,
-            )
+            large_group_quantiles(heat.hot, keys, F.col(_VALUE), _QUARTILES, "_q", heat.side)
         )
     q = F.col("_q")
     return quartiles.select(
@@ -138,10 +130,10 @@ def _hot_stats(
     spread: bool,
     wanted: Column,
     heat: Heat,
+    root: str,
 ) -> DataFrame:
-    value = F.col(_VALUE)
-    how = {"accuracy": sketch_accuracy(settings.hot_rows, heat.largest), "side": heat.side}
-    quartiles = large_group_quantiles(readings, keys, value, _QUARTILES, "_q", **how)
+    value, side = F.col(_VALUE), heat.side
+    quartiles = large_group_quantiles(readings, keys, value, _QUARTILES, "_q", side, f"{root}/quartiles")
     bounds = quartiles.select(*keys, *_fences(F.col("_q"), settings.fence_k))
     survivors = readings.join(heat.side(bounds), keys).where(
         value.between(F.col("lower_bound"), F.col("upper_bound"))
@@ -150,11 +142,11 @@ def _hot_stats(
     if not spread:
         return stats
     seen = survivors.where(wanted)
-    spreads = large_group_quantiles(seen, keys, value, _SPREAD, "_s", **how)
+    spreads = large_group_quantiles(seen, keys, value, _SPREAD, "_s", side, f"{root}/spreads")
     deviations = seen.join(heat.side(spreads), keys).withColumn(
         "_dev", F.abs(value - F.col("_s")[1])
     )
-    mads = large_group_quantiles(deviations, keys, F.col("_dev"), (0.5,), "_m", **how)
+    mads = large_group_quantiles(deviations, keys, F.col("_dev"), (0.5,), "_m", side, f"{root}/deviations")
     return (
         stats.join(heat.side(spreads), keys, "left")
         .join(heat.side(mads), keys, "left")
@@ -187,21 +179,21 @@ def spec_stats(
         *([] if suspects is None or "eqp_id" in keys else ["eqp_id"]),
     )
     if suspects is None:
-        heat = split_by_heat(needed, keys, settings.hot_rows)
+        heat = split_by_heat(needed, keys, settings.hot_rows, broadcast_rows=settings.broadcast_rows)
     elif suspects.isEmpty():
         heat = Heat(needed, None, 0)
     else:
         few = broadcast_if_small(suspects, settings.broadcast_rows)
         heat = split_by_heat(
-            needed, keys, settings.hot_rows, needed.join(few, "eqp_id", "left_semi")
+            needed, keys, settings.hot_rows, needed.join(few, "eqp_id", "left_semi"), settings.broadcast_rows
         )
     cold = heat.cold
 
     stats = _cold_stats(cold, keys, settings, spread, wanted)
     if heat.hot is not None:
         path = hot_root or scratch_table(readings.sparkSession, "hot_rows")
-        hot = stored(heat.hot.select(*cold.columns), path)
-        stats = stats.unionByName(_hot_stats(hot, keys, settings, spread, wanted, heat))
+        hot = stored(heat.hot.select(*cold.columns), f"{path}/rows")
+        stats = stats.unionByName(_hot_stats(hot, keys, settings, spread, wanted, heat, path))
     return stats.where(F.col("n_points") >= settings.min_points).select(
         *keys,
         "n_points",

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from limitlens.config import Settings
-from limitlens.functions.quantiles import large_group_quantiles, sketch_accuracy
+from limitlens.functions.quantiles import large_group_quantiles
 from limitlens.operators import heat, stats
 
 ALL = Settings(min_points=1)
@@ -120,9 +120,8 @@ def test_large_groups_give_the_same_numbers(skewed, hot_rows):
 def test_many_large_groups(skewed, monkeypatch, limit):
     """Keys of large groups as a table, with and without a broadcast of it."""
     monkeypatch.setattr(heat, "MAX_LISTED_GROUPS", 2)
-    monkeypatch.setattr(heat, "MAX_BROADCAST_GROUPS", limit)
-    assert heat.split_by_heat(skewed, ["spec_id"], 20).few == (limit > 0)
-    split = stats.spec_stats(skewed, settings=replace(ALL, hot_rows=20), spread=True).collect()
+    assert heat.split_by_heat(skewed, ["spec_id"], 20, broadcast_rows=limit).few == (limit > 0)
+    split = stats.spec_stats(skewed, settings=replace(ALL, hot_rows=20, broadcast_rows=limit), spread=True).collect()
     plain = stats.spec_stats(skewed, settings=ALL, spread=True).collect()
     assert {(r.spec_id, r.n_points, r.median, r.mad, r.upper_spec) for r in split} == {
         (r.spec_id, r.n_points, r.median, r.mad, r.upper_spec) for r in plain
@@ -176,24 +175,37 @@ def test_row_order_and_partitions_do_not_matter(skewed):
     assert table(skewed) == table(skewed.repartition(5).orderBy(F.rand(1)))
 
 
-@pytest.mark.parametrize("accuracy", [1, 20, 500])
-def test_quantiles_equal_percentile(spark, accuracy):
-    rng = random.Random(accuracy)
-    rows = [(k, rng.choice([rng.random(), 0.5, -3.0])) for k in ("a", "b") for _ in range(2000)]
-    rows += [("c", 1.0)] * 1001 + [("d", 2.0), ("d", None)]
-    df = spark.createDataFrame(rows, "k STRING, v DOUBLE").repartition(7)
-    probs = (0.0, 0.00135, 0.25, 0.5, 0.75, 0.99865, 1.0)
-    if accuracy > 1:
-        df = df.where("k <> 'd'")
-    found = large_group_quantiles(df, ["k"], F.col("v"), probs, "q", accuracy)
-    plain = df.groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
-    assert {r.k: r.q for r in found.collect()} == {r.k: r.q for r in plain.collect()}
+_RNG = random.Random(4)
+VALUES = {
+    "mixed": lambda i: _RNG.choice([_RNG.random(), 0.5, -3.0]),
+    "all equal": lambda i: 7.25,
+    "two values": lambda i: float(i % 2),
+    "sorted": lambda i: float(i),
+    "sorted down": lambda i: -float(i),
+    "nearly all equal": lambda i: 1e300 if i == 1999 else -0.0,
+    "infinite": lambda i: float("inf") if i % 3 else float("-inf"),
+}
 
 
-def test_sketch_accuracy_bounds():
-    assert sketch_accuracy(1_000_000, 2_000_000) == 10_000
-    assert sketch_accuracy(1_000_000, 10**12) == 500_000
-    assert sketch_accuracy(0, 5) == 1
+@pytest.mark.parametrize("kind", VALUES)
+def test_quantiles_equal_percentile(spark, kind):
+    rows = [(k, VALUES[kind](i)) for k in ("a", "b") for i in range(2000)]
+    rows += [("c", 1.0)] * 1001 + [("d", 2.0), ("d", None), ("e", None), ("f", 1.0), ("f", 4.0)]
+    df = spark.createDataFrame(rows, "k STRING, v DOUBLE").repartition(7)
+    probs = (0.0, 0.00135, 0.25, 0.5, 0.75, 0.99865, 1.0)
+    found = large_group_quantiles(df, ["k"], F.col("v"), probs, "q")
+    plain = df.where("v is not null").groupBy("k").agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q"))
+    texts = lambda df: {r.k: [str(x + 0.0) for x in r.q] for r in df.collect()}  # noqa: E731  NaN equals itself, -0.0 is 0.0
+    assert texts(found) == texts(plain)
+
+
+def test_quantiles_gather_no_group(spark):
+    """Ranks are found by counts of partitions: no sketch, no error bound, no window over a whole group's values."""
+    df = spark.range(5000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"))
+    plan = large_group_quantiles(df, ["k"], F.col("v"), (0.5,), "q")._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and "raise_error" not in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line and "_v#" in line.split("windowspecdefinition", 1)[1]]
+    assert windows and all("_p#" in line.split("specifiedwindowframe")[0] for line in windows)
 
 
 def test_heat_lists_only_large_groups(skewed):
