@@ -12,6 +12,7 @@ from limitlens.operators.cache import completeness
 from limitlens.operators.calendar import with_work_week
 from limitlens.operators.heat import tools_over
 from limitlens.operators.verdict import calculations, confirm
+from limitlens.plans.resume import resumable_verdicts
 from limitlens.sinks.tables import publish_report
 from limitlens.sources.cache import cached_manifest, cached_readings
 from limitlens.sources.reports import prior_week_fails
@@ -39,18 +40,22 @@ def build(
     settings: Settings = Settings(),
     exclusions: DataFrame | None = None,
     hot_root: str | None = None,
+    calculations_root: str | None = None,
 ) -> DataFrame:
-    """One plan for all tools. The manifest tells which tools could hold a large spec."""
+    """One plan for all tools. The manifest tells which tools could hold a large spec.
+
+    With ``calculations_root`` verdicts are kept there, and only tools whose inputs have changed are calculated.
+    """
     readings = cached_readings(spark, root).where(in_window(F.col("d"), F.lit(end), settings.window_days))
     manifest = cached_manifest(spark, root, manifest_root)
-    verdicts = calculations(
-        readings,
-        catalog,
-        settings,
-        exclusions=exclusions,
-        suspects=tools_over(manifest, settings.hot_rows),
-        hot_root=hot_root,
-    )
+    suspects = tools_over(manifest, settings.hot_rows)
+    if calculations_root is None:
+        verdicts = calculations(readings, catalog, settings, exclusions=exclusions, suspects=suspects, hot_root=hot_root)
+    else:
+        window = manifest.where(in_window(F.col("d"), F.lit(end), settings.window_days))
+        verdicts = resumable_verdicts(
+            readings, catalog, window, calculations_root, settings, f"{end}", exclusions, suspects
+        ).verdicts
     report = confirm(verdicts, prior_week_fails(spark, report_root, previous_week))
     return report.join(
         completeness(manifest, F.lit(end), settings.window_days), "eqp_id", "left"
@@ -68,6 +73,7 @@ def run(
     settings: Settings = Settings(),
     exclusions: DataFrame | None = None,
     replace: bool = True,
+    calculations_root: str | None = None,
 ) -> str:
     """Publish the report of the run date's work week; returns the week.
 
@@ -80,7 +86,7 @@ def run(
     try:
         report = build(
             spark, catalog, root, manifest_root, report_root, previous, end, settings, exclusions,
-            hot_root,
+            hot_root, calculations_root,
         )
         publish_report(report, report_root, week)
     finally:

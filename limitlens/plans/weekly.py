@@ -15,13 +15,14 @@ from limitlens.sources.catalog import scan_catalog
 
 @dataclass(frozen=True)
 class Roots:
-    """Table locations on shared storage."""
+    """Table locations on shared storage. With ``calculations`` a repeated report calculates only what has changed."""
 
     catalog: str
     readings: str
     manifest: str
     report: str
     log: str
+    calculations: str | None = None
 
 
 def run(
@@ -40,5 +41,5 @@ def run(
     fetch_stage.run(readings, catalog, roots.readings, roots.manifest, end, settings, roots.log)
     return report_stage.run(
         spark, catalog, calendar, roots.readings, roots.manifest, roots.report, end, settings,
-        exclusions,
+        exclusions, calculations_root=roots.calculations,
     )

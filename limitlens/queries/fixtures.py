@@ -129,6 +129,28 @@ def catalog_sources(spark: SparkSession, sf_dir: str) -> CatalogSources:
     )
 
 
+def reading_sources(spark: SparkSession, sf_dir: str) -> CatalogSources:
+    """Catalog sources that describe the readings' own specs, as :func:`registrations` has them."""
+    rows = registrations(spark, sf_dir)
+    specs = rows.select("eqp_id", "spec_id", "pattern", "grade").distinct()
+    kinds = F.create_map(*[F.lit(x) for pair in (("PATTERN_A", 1), ("PATTERN_B", 2), ("PATTERN_C", 3), ("PATTERN_D", 4)) for x in pair])
+    number = F.abs(F.xxhash64("spec_id"))
+    tools = specs.select("eqp_id").distinct()
+    return CatalogSources(
+        parameters=specs.select(number.alias("param_id"), F.lit("u").alias("unit"), F.col("spec_id").alias("name"), "grade"),
+        limits=rows.select(
+            number.alias("param_id"), "eqp_id", "spec_id", "process_unit", F.lit("100").alias("upper_text"),
+            F.lit("0").alias("lower_text"), F.lit("F").alias("limit_formula"), F.lit("fixed").alias("range_flag"),
+            run_day().alias("last_used"), F.lit(1).cast("bigint").alias("used_count"),
+        ),
+        tool_config=tools.select("eqp_id", F.lit("ETCH").alias("area"), F.lit("M").alias("model")),
+        equipment_names=tools.select("eqp_id", F.lit("n").alias("eqp_name")),
+        pattern_definitions=specs.select(
+            F.col("spec_id").alias("param_name"), F.coalesce(F.try_element_at(kinds, "pattern"), F.lit(9)).alias("type_code")
+        ),
+    )
+
+
 def spec_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Limits per (part, supplier), registered per line status as process unit.
 

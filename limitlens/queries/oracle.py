@@ -530,3 +530,23 @@ with {READINGS}
 select distinct 'd=' || cast(d as varchar) as folder, true as has_size from readings""",
 }
 ORACLE["compact_resumed"] = ORACLE["compact_twice"]
+ORACLE["weekly_job"] = ORACLE["weekly_report"]
+ORACLE["report_resumed"] = f"""
+{_BASE}, {_stats('w', "d >= date '2024-01-28'").replace('>= 5', '>= 3')},
+specs as (
+  select s.eqp_id, count(*) as n, sum(n_points)::bigint as points from w_stats s
+  join (select distinct spec_id, eqp_id from registrations where pattern <> 'UNSUPPORTED') c using (eqp_id, spec_id)
+  group by s.eqp_id),
+sizes as (
+  select eqp_id, count(*) as n, count(*) filter (processid = 'error') as errors
+  from readings where d >= date '2024-01-28' group by eqp_id),
+tools as (
+  select t.eqp_id, coalesce(z.n, 0) as rows, s.n as specs, s.points,
+         case when t.eqp_id::bigint % 3 = 0 then coalesce(z.errors, 0) else 0 end as lost
+  from (select distinct eqp_id from registrations) t left join sizes z using (eqp_id) left join specs s using (eqp_id))
+select eqp_id,
+       case when rows = 0 then 'no data' when specs is null then 'no calculations' else 'calculated' end as first_state,
+       case when lost = 0 then 'already processed' when rows = lost then 'no data'
+            when specs is null then 'no calculations' else 'calculated' end as second_state,
+       coalesce(specs, 0) as specs, coalesce(points, 0) as points
+from tools"""

@@ -13,7 +13,8 @@ from limitlens.operators import cache, catalog, profile, run_log, stats, verdict
 from limitlens.operators.calendar import build_calendar, with_work_week
 from limitlens.operators.heat import tools_over
 from limitlens.operators.rules import with_verdict
-from limitlens.plans import fetch_stage, spec_stage
+from limitlens.plans import fetch_stage, spec_stage, weekly
+from limitlens.plans.resume import resumable_verdicts
 from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
 from limitlens.sinks.refresh import verify_cache
@@ -161,6 +162,41 @@ def tool_status(spark, sf_dir):
     )
 
 
+@query
+def weekly_job(spark, sf_dir):
+    """The three jobs for two weeks in a row, each from what it has stored; the second week's report is read back."""
+    roots = weekly.Roots(*(scratch_table(spark, n) for n in ("catalog", "readings", "manifest", "report", "log", "calculations")))
+    rows, sources = fx.readings(spark, sf_dir), fx.reading_sources(spark, sf_dir)
+    weeks = build_calendar(rows.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day")))
+    settings = replace(fx.SETTINGS, window_days=23)
+    for end in (fx.date(2024, 1, 23), fx.RUN_DAY):
+        week = weekly.run(sources, rows.where(F.col("d") <= F.lit(end)), weeks, roots, end, settings)
+    return rounded(report_week(spark, roots.report, week).select(*REPORT_COLUMNS))
+
+
+@query
+def report_resumed(spark, sf_dir):
+    """What comes of each tool in a report over the last three days, and in a repeated one for which every third tool has lost its errors."""
+    specs = fx.registrations(spark, sf_dir)
+    rows = fx.readings(spark, sf_dir).where(F.col("d") >= F.date_sub(fx.run_day(), 2))
+    lost = (F.col("eqp_id").cast("long") % 3 == 0) & (F.col("processid") == "error")
+    root, settings = scratch_table(spark, "calculations"), replace(fx.SETTINGS, min_points=3, tool_buckets=4)
+    found = []
+    for part in (rows, rows.where(~lost)):
+        days = part.groupBy("eqp_id", "d").agg(
+            F.count("*").alias("row_count"), cache.content_sum(schemas.READINGS.names).alias("content_sum")
+        )
+        found.append(resumable_verdicts(part, specs, days, root, settings))
+    first, second = found
+    verdicts = second.verdicts.groupBy("eqp_id").agg(F.count("*").alias("n"), F.sum("n_points").alias("points"))
+    return (
+        first.states.select("eqp_id", F.col("state").alias("first_state"))
+        .join(second.states.select("eqp_id", F.col("state").alias("second_state")), "eqp_id")
+        .join(verdicts, "eqp_id", "left")
+        .select("eqp_id", "first_state", "second_state", F.coalesce("n", F.lit(0)).alias("specs"), F.coalesce("points", F.lit(0)).alias("points"))
+    )
+
+
 # --- catalog ------------------------------------------------------------------------------
 
 

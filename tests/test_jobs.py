@@ -12,7 +12,9 @@ from limitlens.operators import catalog as cat
 from limitlens.operators.calendar import build_calendar
 from limitlens.operators.run_log import failed_units, run_log_summary
 from limitlens.operators.verdict import calculations, confirm
-from limitlens.plans import report_stage, weekly
+from limitlens.config import Settings
+from limitlens.operators.cache import content_sum
+from limitlens.plans import report_stage, resume, weekly
 from limitlens.queries import fixtures as fx
 from limitlens.sinks import tables as sinks
 from limitlens.sources.cache import cached_readings
@@ -244,3 +246,66 @@ def test_calendar_must_cover_the_run_date(spark):
     assert report_stage.work_weeks(calendar, date(2024, 1, 3)) == ("2024-01", "")
     with pytest.raises(ValueError, match="2025-01-01"):
         report_stage.work_weeks(calendar, date(2025, 1, 1))
+
+
+# --- a report that is calculated again ------------------------------------------------------
+
+
+@pytest.fixture
+def resumable(spark, make_readings, make_catalog, tmp_path):
+    """Runs the verdicts of some tools; ``changed`` tools have one reading more."""
+    tools = [f"t{i}" for i in range(6)]
+    catalog = make_catalog([(t, f"{t}-1", "PATTERN_A", "G1", "U1") for t in [*tools, "none"]])
+
+    def run(changed=(), settings=None, specs=None):
+        days = {t: [*range(1, 9), *([9] if t in changed else [])] for t in tools}
+        readings = make_readings([(t, f"{t}-1", float(d % 5), f"2024-01-{d:02d}T00:00:00") for t in tools for d in days[t]])
+        content = readings.groupBy("eqp_id", "d").agg(F.count("*").alias("row_count"), content_sum(["eqp_id", "act_time", "param_value"]).alias("content_sum"))
+        found = resume.resumable_verdicts(readings, catalog if specs is None else specs(catalog), content, str(tmp_path / "calc"), settings or Settings())
+        verdicts = {r.eqp_id: r.n_points for r in found.verdicts.collect()}
+        return {r.eqp_id: r.state for r in found.states.collect()}, verdicts, {r.eqp_id: r.error for r in found.states.collect() if r.error}
+
+    return run
+
+
+def test_only_changed_tools_are_calculated_again(resumable, monkeypatch):
+    asked = []
+    honest = resume.calculations
+
+    def counted(readings, catalog, *args, **more):
+        if more.get("hot_root"):
+            asked.append(sorted(r.eqp_id for r in catalog.select("eqp_id").distinct().collect()))
+        return honest(readings, catalog, *args, **more)
+
+    monkeypatch.setattr(resume, "calculations", counted)
+    states, verdicts, _ = resumable()
+    assert states == {**{f"t{i}": "calculated" for i in range(6)}, "none": "no data"}
+    assert verdicts == {f"t{i}": 8 for i in range(6)}
+    states, again, _ = resumable()
+    assert set(states.values()) == {"already processed"} and again == verdicts and len(asked) == 1
+    states, changed, _ = resumable(changed=["t2"])
+    assert states.pop("t2") == "calculated" and set(states.values()) == {"already processed"}
+    assert asked[1:] == [["t2"]] and changed == {**verdicts, "t2": 9}
+    # Another rule or another grade of a spec is a change too, a tool that left the catalog is not reported.
+    states, _, _ = resumable(changed=["t2"], settings=Settings(min_points=6))
+    assert set(states.values()) == {"calculated", "no data"}
+    graded = lambda c: c.where("eqp_id <> 't5'").withColumn("grade", F.when(F.col("eqp_id") == "t1", "G2").otherwise(F.col("grade")))
+    states, left, _ = resumable(changed=["t2"], settings=Settings(min_points=6), specs=graded)
+    assert [t for t, s in states.items() if s == "calculated"] == ["t1"] and "t5" not in states and "t5" not in left
+
+
+def test_a_tool_that_fails_is_a_state(resumable, monkeypatch):
+    honest = resume.calculations
+
+    def fails(readings, catalog, *args, **more):
+        if more.get("hot_root") and not readings.where("eqp_id in ('t1', 't4')").isEmpty():
+            raise ValueError("cannot be calculated")
+        return honest(readings, catalog, *args, **more)
+
+    monkeypatch.setattr(resume, "calculations", fails)
+    states, verdicts, errors = resumable()
+    assert {t for t, s in states.items() if s == "calculation error"} == {"t1", "t4"} == set(errors)
+    assert set(verdicts) == {"t0", "t2", "t3", "t5"} and "cannot be calculated" in errors["t1"]
+    monkeypatch.undo()
+    states, verdicts, errors = resumable()
+    assert {t for t, s in states.items() if s == "calculated"} == {"t1", "t4"} and len(verdicts) == 6 and not errors
