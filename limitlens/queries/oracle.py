@@ -550,3 +550,23 @@ select eqp_id,
             when specs is null then 'no calculations' else 'calculated' end as second_state,
        coalesce(specs, 0) as specs, coalesce(points, 0) as points
 from tools"""
+
+_SPEC_WEEKS = f"""
+with {_CATALOG},
+first as (select * from fixed union all by name select * from auto),
+second as (
+  select * replace (case when upper_spec > 50 then upper_spec + 1 else upper_spec end as upper_spec)
+  from first where param_id % 5 <> 0)"""
+ORACLE["catalog_as_of"] = f"""
+{_SPEC_WEEKS}
+select eqp_id, spec_id, type, upper_spec, asked from first, (values ('2024-05'), ('2024-07')) w(asked)
+union all
+select eqp_id, spec_id, type, upper_spec, '2024-09' from second"""
+ORACLE["catalog_changes"] = f"""
+{_SPEC_WEEKS},
+early as (select * from first where param_id % 7 <> 0)
+select coalesce(a.eqp_id, b.eqp_id) as eqp_id, coalesce(a.spec_id, b.spec_id) as spec_id, coalesce(a.type, b.type) as type,
+       case when a.spec_id is null then 'added' when b.spec_id is null then 'removed' else 'changed' end as change,
+       case when a.spec_id is not null and b.spec_id is not null then 'upper_spec' end as columns
+from early a full join second b on a.eqp_id = b.eqp_id and a.spec_id = b.spec_id and a.type = b.type
+where a.spec_id is null or b.spec_id is null or a.upper_spec is distinct from b.upper_spec"""

@@ -16,6 +16,7 @@ from limitlens.operators.rules import with_verdict
 from limitlens.plans import fetch_stage, spec_stage, weekly
 from limitlens.plans.resume import resumable_verdicts
 from limitlens.queries import fixtures as fx
+from limitlens.sinks import catalog_weeks as weeks
 from limitlens.sinks import tables as sinks
 from limitlens.sinks.refresh import verify_cache
 from limitlens.storage import drop_folder, durable, scratch_table
@@ -167,10 +168,10 @@ def weekly_job(spark, sf_dir):
     """The three jobs for two weeks in a row, each from what it has stored; the second week's report is read back."""
     roots = weekly.Roots(*(scratch_table(spark, n) for n in ("catalog", "readings", "manifest", "report", "log", "calculations")))
     rows, sources = fx.readings(spark, sf_dir), fx.reading_sources(spark, sf_dir)
-    weeks = build_calendar(rows.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day")))
+    calendar = build_calendar(rows.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day")))
     settings = replace(fx.SETTINGS, window_days=23)
     for end in (fx.date(2024, 1, 23), fx.RUN_DAY):
-        week = weekly.run(sources, rows.where(F.col("d") <= F.lit(end)), weeks, roots, end, settings)
+        week = weekly.run(sources, rows.where(F.col("d") <= F.lit(end)), calendar, roots, end, settings)
     return rounded(report_week(spark, roots.report, week).select(*REPORT_COLUMNS))
 
 
@@ -241,6 +242,38 @@ def spec_catalog_scan(spark, sf_dir):
     return scan_catalog(spark, root, "fixed")
 
 
+def _next_week(specs: DataFrame) -> DataFrame:
+    """A week later: every fifth parameter's specs are gone, the upper limits of those above 50 are raised, and all rows made anew."""
+    raised = F.when(F.col("upper_spec") > 50, F.col("upper_spec") + 1).otherwise(F.col("upper_spec"))
+    kept = specs.where(F.pmod(F.col("param_id"), F.lit(5)) != 0).withColumn("upper_spec", raised)
+    return kept.withColumn("script_run_time", F.lit("2024-02-06 06:00:00"))
+
+
+@query
+def catalog_as_of(spark, sf_dir):
+    """Two published weeks, the second one twice; what is in force before, in and between them and after."""
+    root, specs = scratch_table(spark, "catalog_weeks"), durable(catalog_union(spark, sf_dir))
+    weeks.publish_catalog_week(specs, root, "2024-05")
+    weeks.publish_catalog_week(specs, root, "2024-08")
+    weeks.publish_catalog_week(_next_week(specs), root, "2024-08")
+    weeks.publish_catalog_week(specs.where("false"), root, "2024-08", replace=False)
+    found = None
+    for week in ("2024-04", "2024-05", "2024-07", "2024-09"):
+        here = weeks.catalog_as_of(spark, root, week).select("eqp_id", "spec_id", "type", "upper_spec", F.lit(week).alias("asked"))
+        found = here if found is None else found.unionByName(here)
+    return found
+
+
+@query
+def catalog_changes(spark, sf_dir):
+    """What the second of two published weeks has added, removed and changed, read from the weeks."""
+    root, specs = scratch_table(spark, "catalog_weeks"), durable(catalog_union(spark, sf_dir))
+    late = F.pmod(F.col("param_id"), F.lit(7)) == 0
+    weeks.publish_catalog_week(specs.where(~late), root, "2024-05")
+    weeks.publish_catalog_week(_next_week(specs), root, "2024-06")
+    return weeks.catalog_changes(weeks.catalog_as_of(spark, root, "2024-05"), weeks.catalog_as_of(spark, root, "2024-06"))
+
+
 @query
 def technode_lookup(spark, sf_dir):
     plans = fx.table(spark, sf_dir, "customer").select(

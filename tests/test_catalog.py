@@ -213,3 +213,29 @@ def test_readings_filtered_with_and_without_broadcast(make_readings, make_catalo
     first, last = F.lit(date(2024, 1, 2)), F.lit(date(2024, 1, 4))
     found = readings_filtered(readings, catalog, first, last, ("G1",), limit)
     assert rows_of(found.select("spec_id", "d")) == [("s1", date(2024, 1, i)) for i in (2, 3, 4)]
+
+
+def test_catalog_weeks(spark, tmp_path):
+    from limitlens.sinks import catalog_weeks as weeks
+
+    root = str(tmp_path / "weeks")
+
+    def specs(*rows):
+        return spark.createDataFrame([(*r, "t") for r in rows], "eqp_id STRING, spec_id STRING, type STRING, upper_spec DOUBLE, script_run_time STRING")
+
+    assert weeks.catalog_as_of(spark, root, "2024-01").isEmpty()
+    assert weeks.publish_catalog_week(specs(("a", "s", "fixed", 1.0), ("a", "s", "auto", None), ("b", "u", "fixed", 2.0)), root, "2024-01")
+    assert weeks.publish_catalog_week(specs(("a", "s", "fixed", 1.0), ("b", "u", "fixed", 3.0), ("c", "n", "fixed", None)), root, "2024-03")
+    assert not weeks.publish_catalog_week(specs(), root, "2024-03", replace=False)
+    first, second = (weeks.catalog_as_of(spark, root, w) for w in ("2024-02", "2024-03"))
+    assert rows_of(first.select("eqp_id", "type", "week")) == [("a", "auto", "2024-01"), ("a", "fixed", "2024-01"), ("b", "fixed", "2024-01")]
+    assert weeks.catalog_as_of(spark, root, "2024-02", "auto").count() == 1 and weeks.catalog_as_of(spark, root, "2024-03", "auto").isEmpty()
+    changes = weeks.catalog_changes(first, second)
+    assert rows_of(changes) == [
+        ("a", "s", "auto", "removed", None), ("b", "u", "fixed", "changed", "upper_spec"), ("c", "n", "fixed", "added", None)
+    ]
+    assert "ShuffledHashJoin" in changes._jdf.queryExecution().executedPlan().toString()
+    assert weeks.catalog_changes(second, second).isEmpty()
+    # A week without specs is a week: nothing of an earlier one is in force in it.
+    assert weeks.publish_catalog_week(specs(), root, "2024-04")
+    assert weeks.catalog_as_of(spark, root, "2024-05").isEmpty() and weeks.published_weeks(spark, root) == ["2024-01", "2024-03", "2024-04"]
