@@ -41,7 +41,11 @@ def _stage(function: Stage) -> Stage:
 
 @_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score of 0.5 or more go; the model learns from the labelled ones."""
+    """Documents with a toxicity score of 0.5 or more go; the model learns from the labelled ones.
+
+    Null texts are scored as empty ones, rows that repeat get one score, texts of any length are scored as a
+    whole. Without labels of both classes all go or none. Other columns may have any name.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
     scored = model.score(docs.select(row, whole_text().alias("_text")))
@@ -73,18 +77,28 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 over five-word shingles the smallest doc_id stays.
+    """Of documents linked by a similarity of 0.8 over five-word shingles the smallest doc_id stays (rows without one last).
 
-    Rows that repeat a doc_id stay if one of them does.
+    Rows are told apart by a hash of id and text, so rows without an id or with a repeated one are decided
+    each for itself; only rows that repeat both share a decision (the stage before leaves one of them). Null and empty texts
+    are linked with nothing and stay. Texts of any length are compared as a whole. Other columns may have any name.
     """
-    found = keep(near_duplicates(docs, words=5, percent=80), "near-decisions")
-    stays = found.where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    own = F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), whole_text())
+    found = keep(near_duplicates(docs.select(own.alias("doc_id"), "text"), words=5, percent=80), "near-decisions")
+    ids = docs.select(own.alias("_own"), F.col("doc_id").cast("long").alias("_id"))
+    linked = found.select(F.col("doc_id").alias("_own"), F.col("component_id").alias("_component")).distinct()
+    first = F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_own")))
+    stays = ids.join(linked, "_own").groupBy("_component").agg(first.alias("_first")).select(F.col("_first._own").alias("_own"))
+    return docs.select(own.alias("_own"), row).join(stays, "_own", "left_semi").select("_doc.*")
 
 
 @_stage
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data are replaced by their kind; n_chars is counted again."""
+    """Spans of personal data are replaced by their kind; n_chars is counted again.
+
+    Every row stays; null texts stay null, texts of any length are searched as a whole.
+    """
     out = pii.masked(docs)
     if "n_chars" not in docs.columns:
         return out
@@ -94,7 +108,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 @_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left becomes pieces of sequences of 1024 tokens."""
+    """What is left becomes pieces of sequences of 1024 tokens.
+
+    Null and empty texts are one end id; rows that repeat are packed each for itself; a text of any length is cut into pieces.
+    """
     return pack(docs)
 
 
