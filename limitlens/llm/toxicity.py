@@ -223,12 +223,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
     """At most about ``most`` labelled rows outside the held-out fold: doc_id, text, label, fold.
 
     Rows are drawn by a hash of the id, so the draw does not depend on the order. Labels other than
-    0 and 1 and rows without id are left out.
+    0 and 1 and rows without id are left out; of several labels of one id the majority counts, a tie is 0.
     """
     usable = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
         .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id").agg((F.avg("label") > 0.5).cast("int").alias("label"))
     )
     total = usable.count()
     if total > most:

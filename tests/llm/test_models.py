@@ -60,6 +60,18 @@ def test_the_held_out_fold_is_never_learned(spark):
     assert 30 < few < 100
 
 
+def test_several_labels_of_one_document_in_any_order(spark):
+    docs = docs_of(spark, [(i, f"text {i}") for i in range(40)])
+    labels = [(i, 0, int(k < i % 4)) for i in range(40) for k in range(3)]  # 0 to 3 of three labels are 1
+    ties = [(i, 0, k) for i in range(40, 44) for k in (0, 1)]
+    docs = docs.union(docs_of(spark, [(i, "tie") for i in range(40, 44)]))
+    drawn = []
+    for order in (labels + ties, (labels + ties)[::-1]):
+        sample = toxicity.training_sample(docs, labels_of(spark, order).repartition(3), "toxic", 10_000)
+        drawn.append({r.doc_id: r.label for r in sample.collect()})
+    assert drawn[0] == drawn[1] and all(v == int(i < 40 and i % 4 >= 2) for i, v in drawn[0].items())
+
+
 def test_features_by_hand():
     f = toxicity.Featurizer([("zorb", False), ("blick", True)])
     names = dict(zip(toxicity.FEATURES, f("You idiot! zorbish blickx blick aidiot"), strict=True))

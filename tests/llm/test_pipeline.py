@@ -71,3 +71,27 @@ def test_odd_documents_pass_every_stage(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = keep(stage(spark, empty, SF_DIR), "empty")
         assert empty.count() == 0
+
+
+def test_column_names_that_begin_with_an_underscore(spark):
+    names = ["_id", "_doc", "_own", "_digest", "_text", "_score", "_first", "_component", "_label", "_digest_kept", "a.b"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    rows = [(1, "Copy me. mail a@b.co"), (2, "copy ME. mail a@b.co"), (None, None), (3, "other words here")]
+    docs = spark.createDataFrame([(i, t, *names) for i, t in rows], schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = keep(stage(spark, docs, SF_DIR), "clash")
+        assert docs.columns == ["doc_id", "text", *names] and [tuple(r)[2:] for r in docs.collect()] == [tuple(names)] * docs.count()
+    assert sorted(str(r.doc_id) for r in docs.collect()) == ["2", "3", "None"]
+    assert corpus_pipeline.pack_sequences(spark, docs, SF_DIR).count() == 3
+
+
+def test_near_copies_without_an_id_or_with_a_repeated_one(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = lambda n: " ".join([*words, f"end{n}"])
+    rows = [(None, near(1)), (None, near(2)), (None, "alone and without an id"), (7, near(3)), (7, "another text of the same id"), (9, near(4)), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).collect()}
+    assert found == {rows[2], rows[3], rows[4], rows[6]}
+    unnamed = spark.createDataFrame([r for r in rows if r[0] is None], "doc_id long, text string")
+    left = [r.text for r in corpus_pipeline.drop_near_copies(spark, unnamed, SF_DIR).collect()]
+    assert len(left) == 3 and sum(t in (near(1), near(2)) for t in left) == 1
