@@ -30,15 +30,17 @@ def large_group_quantiles(
     out: str,
     side: Callable[[DataFrame], DataFrame] = lambda per_group: per_group,
     root: str | None = None,
+    times: Column | None = None,
 ) -> DataFrame:
     """One row per key with the array ``out`` of exact quantiles of ``value``; a key without values has no row.
 
     Callers pass only the groups that a size profile found to be large, see ``operators.heat``; ``side`` hints how
-    a side with a few rows per group is joined. The sorted distinct values are kept at
+    a side with a few rows per group is joined; ``times`` tells how often a row's value counts. The sorted distinct values are kept at
     ``root`` (default: a new scratch table) until the result has been used.
     """
     keys = list(keys)
-    counted = df.select(*keys, value.alias("_v")).where("_v is not null").groupBy(*keys, "_v").agg(F.count("*").alias("_c"))
+    valued = df.select(*keys, value.alias("_v"), (F.lit(1) if times is None else times).cast("bigint").alias("_c"))
+    counted = valued.where("_v is not null").groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
     # Written once: a partition's number means the same in every pass.
     dealt = stored(
         counted.repartitionByRange(*keys, "_v").withColumn("_p", F.spark_partition_id()),

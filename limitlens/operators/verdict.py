@@ -29,11 +29,12 @@ def calculations(
     spread_where: Column | None = None,
     suspects: DataFrame | None = None,
     hot_root: str | None = None,
+    runs: bool = False,
 ) -> DataFrame:
     """Statistics, catalog join, control limits and verdict for every tool and spec at once.
 
     The catalog is cut to one row per tool and spec first, so the join cannot multiply rows. A
-    spec that several tools read has a verdict for each.
+    spec that several tools read has a verdict for each. ``readings`` may be runs of equal values.
     """
     stats = spec_stats(
         readings,
@@ -43,6 +44,7 @@ def calculations(
         spread_where=spread_where,
         suspects=suspects,
         hot_root=hot_root,
+        runs=runs,
     )
     supported = catalog.where(F.col("pattern").isin(*settings.patterns))
     specs = distinct_specs(

@@ -14,6 +14,7 @@ from limitlens.operators.heat import tools_over
 from limitlens.operators.verdict import calculations, confirm
 from limitlens.plans.resume import resumable_verdicts
 from limitlens.sinks.tables import publish_report
+from limitlens.sinks.value_runs import cached_runs, refresh_runs
 from limitlens.sources.cache import cached_manifest, cached_readings
 from limitlens.sources.reports import prior_week_fails
 from limitlens.storage import drop_folder, partition_values, scratch_table
@@ -41,20 +42,26 @@ def build(
     exclusions: DataFrame | None = None,
     hot_root: str | None = None,
     calculations_root: str | None = None,
+    runs_root: str | None = None,
 ) -> DataFrame:
     """One plan for all tools. The manifest tells which tools could hold a large spec.
 
-    With ``calculations_root`` verdicts are kept there, and only tools whose inputs have changed are calculated.
+    With ``runs_root`` runs of equal values are kept there, and readings are read only of partitions that the cache has
+    written since. With ``calculations_root`` verdicts are kept there, and only tools whose inputs have changed are calculated.
     """
-    readings = cached_readings(spark, root).where(in_window(F.col("d"), F.lit(end), settings.window_days))
+    runs = runs_root is not None
+    if runs:
+        refresh_runs(spark, root, runs_root)
+    rows = cached_runs(spark, runs_root) if runs else cached_readings(spark, root)
+    readings = rows.where(in_window(F.col("d"), F.lit(end), settings.window_days))
     manifest = cached_manifest(spark, root, manifest_root)
     suspects = tools_over(manifest, settings.hot_rows)
     if calculations_root is None:
-        verdicts = calculations(readings, catalog, settings, exclusions=exclusions, suspects=suspects, hot_root=hot_root)
+        verdicts = calculations(readings, catalog, settings, exclusions=exclusions, suspects=suspects, hot_root=hot_root, runs=runs)
     else:
         window = manifest.where(in_window(F.col("d"), F.lit(end), settings.window_days))
         verdicts = resumable_verdicts(
-            readings, catalog, window, calculations_root, settings, f"{end}", exclusions, suspects
+            readings, catalog, window, calculations_root, settings, f"{end}", exclusions, suspects, runs
         ).verdicts
     report = confirm(verdicts, prior_week_fails(spark, report_root, previous_week))
     return report.join(
@@ -74,6 +81,7 @@ def run(
     exclusions: DataFrame | None = None,
     replace: bool = True,
     calculations_root: str | None = None,
+    runs_root: str | None = None,
 ) -> str:
     """Publish the report of the run date's work week; returns the week.
 
@@ -86,7 +94,7 @@ def run(
     try:
         report = build(
             spark, catalog, root, manifest_root, report_root, previous, end, settings, exclusions,
-            hot_root, calculations_root,
+            hot_root, calculations_root, runs_root,
         )
         publish_report(report, report_root, week)
     finally:

@@ -104,15 +104,16 @@ def resumable_verdicts(
     window: str = "",
     exclusions: DataFrame | None = None,
     suspects: DataFrame | None = None,
+    runs: bool = False,
 ) -> Verdicts:
     """Verdicts of the catalog's tools; those whose inputs are as in an earlier run come from ``root``.
 
-    ``readings`` are the window's, ``tool_days`` the cache manifest of them. Results are kept by tool bucket and replaced all at once.
+    ``readings`` are the window's (with ``runs`` its runs of equal values), ``tool_days`` the cache manifest of them. Results are kept by tool bucket and replaced all at once.
     A tool whose calculation fails has no verdicts, and is tried again by the next run.
     """
     spark = catalog.sparkSession
-    more = {"exclusions": exclusions, "suspects": suspects}
-    schema = calculations(readings, catalog, settings, exclusions=exclusions, suspects=spark.createDataFrame([], "eqp_id STRING")).schema
+    more = {"exclusions": exclusions, "suspects": suspects, "runs": runs}
+    schema = calculations(readings, catalog, settings, exclusions=exclusions, suspects=spark.createDataFrame([], "eqp_id STRING"), runs=runs).schema
     table = VersionedTable(spark, f"{root}/verdicts", schema, (("b", T.IntegerType()),))
     states_root = f"{root}/states"
     table.clear([states_root])

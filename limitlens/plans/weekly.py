@@ -19,7 +19,7 @@ from limitlens.sources.tables import read_table
 @dataclass(frozen=True)
 class Roots:
     """Table locations on shared storage. With ``calculations`` a repeated report calculates only what has changed;
-    with ``catalog_weeks`` the week's catalog is kept, and the report of a week joins that week's."""
+    with ``runs`` it reads only the readings that are new in the cache; with ``catalog_weeks`` the week's catalog is kept, and the report of a week joins that week's."""
 
     catalog: str
     readings: str
@@ -28,6 +28,7 @@ class Roots:
     log: str
     calculations: str | None = None
     catalog_weeks: str | None = None
+    runs: str | None = None
 
 
 def run(
@@ -50,5 +51,5 @@ def run(
     fetch_stage.run(readings, catalog, roots.readings, roots.manifest, end, settings, roots.log)
     return report_stage.run(
         spark, catalog, calendar, roots.readings, roots.manifest, roots.report, end, settings,
-        exclusions, calculations_root=roots.calculations,
+        exclusions, calculations_root=roots.calculations, runs_root=roots.runs,
     )

@@ -506,6 +506,7 @@ _SHARED = _REPORT.replace(
 )
 ORACLE |= {
     "large_spec_stats": ORACLE["spec_stats"],
+    "rolling_spec_stats": f"select *, 8 as days_read from ({ORACLE['spec_stats']})",
     "large_weekly_report": ORACLE["weekly_report"],
     "shared_spec_report": f"""
 {_SHARED} {_REPORT_SELECT} from c_v c left join p_v p using (eqp_id, spec_id)""",

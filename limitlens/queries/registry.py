@@ -19,6 +19,7 @@ from limitlens.queries import fixtures as fx
 from limitlens.sinks import catalog_weeks as weeks
 from limitlens.sinks import tables as sinks
 from limitlens.sinks.refresh import verify_cache
+from limitlens.sinks.value_runs import cached_runs, refresh_runs
 from limitlens.storage import drop_folder, durable, scratch_table
 from limitlens.sources.cache import cached_manifest, cached_readings
 from limitlens.sources.catalog import scan_catalog
@@ -82,6 +83,21 @@ def spec_stats(spark, sf_dir):
     )
 
 
+@query
+def rolling_spec_stats(spark, sf_dir):
+    """As ``spec_stats``, from runs by day: the second week's statistics read the readings of ``days_read`` of 23 days."""
+    rows = fx.readings(spark, sf_dir)
+    every = fx.registrations(spark, sf_dir).withColumn("grade", F.lit("G1"))
+    root, manifest, runs = (scratch_table(spark, n) for n in ("readings", "manifest", "runs"))
+    settings = replace(fx.SETTINGS, window_days=23)
+    for end in (fx.date(2024, 1, 23), fx.RUN_DAY):
+        fetch_stage.run(rows.where(F.col("d") <= F.lit(end)), every, root, manifest, end, settings)
+        read = refresh_runs(spark, root, runs)
+    days = len({part.split("/")[0] for part in read})
+    found = stats.spec_stats(cached_runs(spark, runs), settings=settings, spread=True, runs=True)
+    return rounded(found).withColumn("days_read", F.lit(days))
+
+
 @query
 def control_limits(spark, sf_dir):
     rows, specs = _graded_window(spark, sf_dir, verdict.CURRENT)

@@ -26,6 +26,12 @@ READINGS = _schema(
     "root_lot_id STRING, wafer_id STRING, d DATE"
 )
 
+# Equal values of a spec and day; ``newest`` orders readings by time and then id.
+VALUE_RUNS = _schema(
+    "eqp_id STRING, spec_id STRING, param_value DOUBLE, n_values BIGINT, newest WIDE, "
+    "upper_spec DOUBLE, lower_spec DOUBLE, d DATE"
+)
+
 # Older files name the same facts differently.
 READINGS_OLD_NAMES = {
     "create_time": "act_time",

@@ -10,10 +10,12 @@ from pyspark.sql import Window, functions as F
 
 from limitlens import schemas
 from limitlens.config import Settings
-from limitlens.operators import cache, run_log
+from limitlens.operators import cache, run_log, stats
 from limitlens.plans import fetch_stage
+from limitlens.sinks import value_runs as value_runs_sink
 from limitlens.sinks.refresh import refresh_window, verify_cache
 from limitlens.sinks.tables import purge_expired_days, write_days
+from limitlens.sinks.value_runs import cached_runs, refresh_runs
 from limitlens.sources.cache import cache_table, cached_manifest, cached_readings, tool_bucket
 from limitlens.sources.tables import read_table
 from limitlens.versions import VersionedTable
@@ -355,3 +357,72 @@ def test_new_spec_of_a_cached_tool_gets_its_closed_days(spark, make_readings, ma
     assert result.planned_tool_days == 5 and [r for r in after if r[1] != "b-9"] == before
     assert sorted(str(r[2]) for r in after if r[1] == "b-9") == ["2024-01-09", "2024-01-10"]
     assert refresh_window(source, more, *roots, end, THREE).planned_tool_days == 3
+
+
+# --- runs of equal values, kept by cache partition ----------------------------------------
+
+
+def run_rows(spark, root):
+    return rows_of(cached_runs(spark, root).select("eqp_id", "spec_id", "d", "param_value", "n_values"))
+
+
+def test_runs_follow_the_cache(spark, make_readings, catalog, roots, tmp_path, monkeypatch):
+    runs = str(tmp_path / "runs")
+    assert refresh_runs(spark, roots[0], runs) == [] and cached_runs(spark, runs).isEmpty()
+    fetch_stage.run(make_readings(source_rows(10)), catalog, *roots, END, THREE)
+    assert {p.split("/")[0] for p in refresh_runs(spark, roots[0], runs)} == {"d=2024-01-08", "d=2024-01-09", "d=2024-01-10"}
+    first, before = run_rows(spark, runs), files(runs)
+    assert refresh_runs(spark, roots[0], runs) == [] and files(runs) == before
+    # Two days later: an open day is written again, two are new, two leave.
+    late = source_rows(12) + [("a", "a-1", 10.0, "2024-01-10T23:00:00")]
+    fetch_stage.run(make_readings(late), catalog, *roots, date(2024, 1, 12), THREE)
+    seen = []
+    monkeypatch.setattr(value_runs_sink, "value_runs", lambda df, keys: seen.append(df.inputFiles()) or stats.value_runs(df, keys))
+    read = refresh_runs(spark, roots[0], runs)
+    assert {p.split("/")[0] for p in read} == {"d=2024-01-10", "d=2024-01-11", "d=2024-01-12"}
+    assert {"/".join(f.split("/")[-3:-1]) for f in seen[0]} <= set(read)
+    found = run_rows(spark, runs)
+    assert found != first and {d for _, _, d, *_ in found} == {date(2024, 1, n) for n in (10, 11, 12)}
+    assert ("a", "a-1", END, 10.0, 2) in found
+    wanted = stats.value_runs(cached_readings(spark, roots[0]))
+    assert found == rows_of(wanted.select("eqp_id", "spec_id", "d", "param_value", "n_values"))
+
+
+def test_a_new_tool_gives_runs_of_its_bucket_only(spark, make_readings, make_catalog, catalog, roots, tmp_path):
+    runs, settings = str(tmp_path / "runs"), replace(THREE, tool_buckets=4)
+    source = make_readings(source_rows(10))
+    fetch_stage.run(source, catalog, *roots, date(2024, 1, 11), settings)
+    refresh_runs(spark, roots[0], runs)
+    kept = files(runs)
+    more = catalog.unionByName(make_catalog([("z", "z-1", "PATTERN_A", "G1", "U1")]))
+    written = fetch_stage.run(source, more, *roots, date(2024, 1, 11), settings).parts
+    assert set(refresh_runs(spark, roots[0], runs)) == set(written)
+    now = files(runs)
+    assert all(now[p] == names for p, names in kept.items() if p not in written)
+    assert any(t == "z" for t, *_ in run_rows(spark, runs))
+
+
+@pytest.mark.parametrize("step", ["before", "after"])
+def test_runs_of_a_run_that_dies(spark, make_readings, catalog, roots, tmp_path, monkeypatch, step):
+    runs = str(tmp_path / "runs")
+    fetch_stage.run(make_readings(source_rows(10)), catalog, *roots, END, THREE)
+    refresh_runs(spark, roots[0], runs)
+    first = run_rows(spark, runs)
+    fetch_stage.run(make_readings(source_rows(12)), catalog, *roots, date(2024, 1, 12), THREE)
+    commit = VersionedTable.commit
+
+    def dies(self, *args, **more):
+        if step == "after":
+            commit(self, *args, **more)
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(VersionedTable, "commit", dies)
+        with pytest.raises(KeyboardInterrupt):
+            refresh_runs(spark, roots[0], runs)
+    if step == "before":
+        assert run_rows(spark, runs) == first
+    refresh_runs(spark, roots[0], runs)
+    wanted = stats.value_runs(cached_readings(spark, roots[0]))
+    assert run_rows(spark, runs) == rows_of(wanted.select("eqp_id", "spec_id", "d", "param_value", "n_values"))
+    assert len(list(Path(runs).glob("data/v=*/d=*"))) == 3

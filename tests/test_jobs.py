@@ -185,7 +185,7 @@ def spec_sources(spark):
 def test_two_weeks(spark, spec_sources, tmp_path):
     from dataclasses import replace
 
-    names = ("catalog", "readings", "manifest", "report", "log", "calculations", "catalog_weeks")
+    names = ("catalog", "readings", "manifest", "report", "log", "calculations", "catalog_weeks", "runs")
     roots = weekly.Roots(*(str(tmp_path / n) for n in names))
     readings = fx.readings(spark, SF_DIR)
     calendar = build_calendar(readings.agg(F.min("d").alias("first_day"), F.max("d").alias("last_day")))

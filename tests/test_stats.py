@@ -2,7 +2,9 @@
 
 import math
 import random
+import statistics
 from dataclasses import replace
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -222,3 +224,73 @@ def test_one_shuffle_for_ordinary_groups(skewed):
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
     assert "Python" not in plan
+
+
+# --- runs of equal values -----------------------------------------------------------------
+
+
+def close(found, wanted, *columns):
+    found, wanted = ({(r.eqp_id, r.spec_id): r for r in df.collect()} for df in (found, wanted))
+    assert found.keys() == wanted.keys()
+    for key, row in wanted.items():
+        for c in columns:
+            assert found[key][c] == (row[c] if row[c] is None else pytest.approx(row[c], rel=1e-9, abs=1e-9)), (key, c)
+
+
+ALL_STATS = ("n_points", "mean", "std", "cv", "lower_bound", "upper_bound", "upper_spec", "lower_spec", "p_low", "median", "p_high", "mad")
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 40])
+def test_runs_give_the_same_as_readings(make_readings, hot_rows):
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        spec = "big" if i % 3 else f"s{i % 7}"
+        value = rng.choice([1e4 + rng.randint(0, 9), rng.gauss(1e4, 2.0)]) if spec == "big" else float(rng.randint(0, 4))
+        rows.append(("e", spec, value, f"2024-01-{1 + i % 5:02d}T00:{i // 60:02d}:{i % 60:02d}", 90.0 + i % 11, i))
+    readings = make_readings(rows)
+    settings = replace(ALL, hot_rows=hot_rows)
+    wanted = stats.spec_stats(readings, settings=settings, spread=True)
+    runs = stats.value_runs(readings)
+    assert runs.count() < readings.count()
+    close(stats.spec_stats(runs, settings=settings, spread=True, runs=True), wanted, *ALL_STATS)
+
+
+def test_deviation_of_runs_far_from_zero(make_readings):
+    """Moments about the middle of the fences keep the digits that sums of squares would lose."""
+    rng = random.Random(5)
+    values = [round(rng.uniform(1e9, 1e9 + 9), 2) for _ in range(500)]
+    runs = stats.value_runs(series(make_readings, values))
+    row = one(stats.spec_stats(runs, settings=ALL, runs=True))
+    assert row.n_points == 500
+    assert row["std"] == pytest.approx(statistics.stdev(map(Fraction, values)), rel=1e-12)
+    assert row.mean == pytest.approx(statistics.fmean(values), rel=1e-15)
+
+
+def test_runs_of_odd_values(make_readings):
+    at = "2024-01-01T00:00:0"
+    readings = make_readings([
+        ("e", "equal", 0.1, at + "1"), ("e", "equal", 0.1, at + "2"), ("e", "equal", 0.1, at + "3"),
+        ("e", "one", 5.0, at + "1"), ("e", "zero", -1.0, at + "1"), ("e", "zero", 1.0, at + "2"),
+        ("e", "none", None, at + "1"), ("e", "none", float("nan"), at + "2"),
+        ("e", "signs", 0.0, at + "1"), ("e", "signs", -0.0, at + "2"), (None, "signs", 1.0, at + "1"),
+    ])
+    runs = stats.value_runs(readings)
+    assert {r.n_values for r in runs.where("spec_id in ('equal', 'signs')").collect()} == {2, 3}
+    wanted = stats.spec_stats(readings, settings=ALL, spread=True)
+    found = stats.spec_stats(runs, settings=ALL, spread=True, runs=True)
+    close(found, wanted, *ALL_STATS)
+    assert {r.spec_id: r["std"] for r in found.collect()} == {"equal": 0.0, "one": None, "zero": pytest.approx(2**0.5), "signs": 0.0}
+    assert stats.spec_stats(stats.value_runs(make_readings([])), settings=ALL, runs=True).isEmpty()
+
+
+def test_runs_are_combined_before_the_shuffle(skewed):
+    plan = stats.value_runs(skewed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
+
+
+def test_one_shuffle_for_runs(skewed):
+    found = stats.value_runs(skewed)
+    runs = skewed.sparkSession.createDataFrame(found.collect(), found.schema)
+    plan = stats.spec_stats(runs, settings=ALL, spread=True, runs=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
