@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,24 +34,39 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "limitlens/warc")
-_SAFE = "!#$%&'()*+,-./:;=?@[]_~"
-_MARK = "#page_id="
+# Blanks and control characters cannot stand in a header line. The mark tells whether an address had any.
+_UNFIT = re.compile(r"[\x00-\x20\x7f]")
+_MARK, _ESCAPED_MARK = "#page_id=", "#escaped_page_id="
 
 
 def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def _fit(address: str) -> tuple[str, bool]:
+    """An address as a header can carry it: unchanged, or with what is unfit (and then every percent sign) escaped."""
+    if not _UNFIT.search(address):
+        return address, False
+    return _UNFIT.sub(lambda c: f"%{ord(c[0]):02X}", address.replace("%", "%25")), True
+
+
+def _unescaped(address: str) -> str:
+    return re.sub("%([0-9A-F]{2})", lambda code: chr(int(code[1], 16)), address)
+
+
 def _archive_url(url: str | None, page_id: int | None) -> str:
-    """The address without blanks, and the page's number as a fragment."""
-    return quote(url or "-", safe=_SAFE) + _MARK + ("-" if page_id is None else str(page_id))
+    """The address, and the page's number as a fragment."""
+    address, escaped = _fit(url or "-")
+    return address + (_ESCAPED_MARK if escaped else _MARK) + ("-" if page_id is None else str(page_id))
 
 
 def _page_of(url: str) -> tuple[str, int | None]:
-    address, mark, page = url.rpartition(_MARK)
-    if not mark:
-        return url, None
-    return address, None if page == "-" else int(page)
+    """The address as it was, and the page's number; an address without a mark (of another archive) is left as it is."""
+    for mark in (_MARK, _ESCAPED_MARK):
+        address, found, page = url.rpartition(mark)
+        if found and (page == "-" or page.lstrip("-").isdecimal()):
+            return _unescaped(address) if mark == _ESCAPED_MARK else address, None if page == "-" else int(page)
+    return url, None
 
 
 def _write_arc(date: str):
@@ -139,7 +154,7 @@ def _parsed(with_payload: bool):
                     url, page_id = _page_of(header["URL"])
                     row = (file, place, page_id)
                     if with_payload:
-                        rows.append((*row, unquote(url), header["Archive-date"], header["Content-type"], body))
+                        rows.append((*row, url, header["Archive-date"], header["Content-type"], body))
                         size += len(body)
                     else:
                         rows.append((*row, payload_digest(body), len(body)))
@@ -198,13 +213,16 @@ def _write_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ], info))
                 started = True
             page = "-" if row["page_id"] is None else str(row["page_id"])
+            address, escaped = _fit(row["url"])
             headers = [
                 ("WARC-Type", row["record_type"]), ("WARC-Date", date),
                 ("WARC-Record-ID", _record_id(f"{row['file'].rpartition('/')[2]} {row['place']} {row['url']} {page}")),
-                ("WARC-Target-URI", quote(row["url"], safe=_SAFE)),
+                ("WARC-Target-URI", address),
                 ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
                 ("Content-Type", row["content_type"]), ("X-Page-ID", page),
             ]
+            if escaped:
+                headers.append(("X-Escaped-URI", "yes"))
             if row["record_type"] == "revisit":
                 headers += [("WARC-Profile", REVISIT_PROFILE), ("X-Refers-To-Page", str(row["refers_to"])),
                             ("X-Payload-Length", str(row["payload_bytes"]))]
@@ -277,12 +295,14 @@ def _read_warc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 revisit = head["WARC-Type"] == "revisit"
                 if not revisit and payload_digest(block) != digest:
                     raise ValueError(f"{head['WARC-Record-ID']}: the block does not have its digest")
-                page = head["X-Page-ID"]
+                page, address = head["X-Page-ID"], head["WARC-Target-URI"]
+                if "X-Escaped-URI" in head:
+                    address = _unescaped(address)
                 rows.append((
                     None if page == "-" else int(page),
                     int(head["X-Payload-Length"]) if revisit else len(block),
                     digest, head["WARC-Type"], int(head["X-Refers-To-Page"]) if revisit else None,
-                    head["WARC-Record-ID"], unquote(head["WARC-Target-URI"]), head["WARC-Date"],
+                    head["WARC-Record-ID"], address, head["WARC-Date"],
                 ))
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -299,8 +319,9 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
 def pages_through_archives(pages: DataFrame) -> DataFrame:
     """Pages to ARC, ARC to WARC, WARC back to rows; see :func:`convert` for the types.
 
-    Null html counts as empty, a null url is written as ``-``; extra columns are ignored; no
-    pages give no rows.
+    Null html counts as empty, a null or empty url is written as ``-``; any other url comes back as it was, percent
+    signs included: only blanks and control characters are escaped on the way. Texts of any length are whole
+    records; extra columns are ignored; no pages give no rows.
     """
     spark = pages.sparkSession
     arc, warc = scratch(spark, "arc"), scratch(spark, "warc")

@@ -85,3 +85,16 @@ def test_a_body_shorter_than_declared_is_an_error():
 
     with pytest.raises(ValueError, match="declares 50 bytes"):
         list(warc.arc_records(b"http://a 0 19960923142104 text/html 50\nshort"))
+
+
+def test_addresses_come_back_as_they_were(spark, tmp_path):
+    urls = [
+        "http://h/a%2Fb?q=%23x", "http://h/%E4", "http://h/%20 %20", "http://h/é?漢#page_id=9", "http://h/100%", "a\tb\r\n%0A",
+        "http://h/#escaped_page_id=3", "http://h/a+b|c\"<>\\^`{}", "\u2028\x85", "%",
+    ]
+    df = spark.createDataFrame([(i, u, "x", "clash") for i, u in enumerate(urls)], SCHEMA)
+    out = warc.pages_through_archives(df)
+    assert {r["page_id"]: r["url"] for r in out.collect()} == dict(enumerate(urls))
+    # Another archive's address has no mark and stays as it is.
+    assert warc._page_of("http://h/a%20b") == ("http://h/a%20b", None)
+    assert warc._page_of("http://h/#page_id=x") == ("http://h/#page_id=x", None)
