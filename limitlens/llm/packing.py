@@ -1,7 +1,7 @@
 """Packing documents into sequences: first-fit decreasing with a tournament tree of free room.
 
 Every document is encoded where it is read and cut into pieces of a full sequence and a
-remainder. Documents are dealt into randomised groups of bounded size; a group packs its
+remainder. Pieces are dealt into randomised groups of bounded size; a group packs its
 remainders by falling length, each into the first sequence with room. The tree holds the
 largest room below each node, so finding that sequence takes a logarithmic descent.
 """
@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from limitlens.llm.tables import partitions_of, whole_text
@@ -66,12 +68,17 @@ def _pieces(path: str, capacity: int, end: bytes):
     step = capacity * ID_BYTES
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).ids
+        encode, task = encoder(path).ids, TaskContext.get().partitionId() << 32
+        # Equal rows of a task are told apart by their number, so a lost task that runs again deals the same.
+        copies: Counter[int] = Counter()
         for batch in batches:
-            doc, start, length, crc, total = [], [], [], [], []
+            doc, start, length, crc, total, copy = [], [], [], [], [], []
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 ids = encode(text.as_py()) + end
                 doc_id, n = doc_id.as_py(), len(ids) // ID_BYTES
+                same = hash((doc_id, ids))
+                number = task + copies[same]
+                copies[same] += 1
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
                     doc.append(doc_id)
@@ -79,9 +86,10 @@ def _pieces(path: str, capacity: int, end: bytes):
                     length.append(len(piece) // ID_BYTES)
                     crc.append(zlib.crc32(piece))
                     total.append(n)
+                    copy.append(number)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total, copy)],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_copy"],
             )
 
     return cut
@@ -99,16 +107,19 @@ def pack(
 
     A document is its ids and ``end_id``; null text counts as empty and still gives one piece.
     Pieces of ``capacity`` ids fill a sequence alone. ``group_docs`` bounds what one task packs
-    (documents on average; long ones add only finished pieces). Each row is packed on its own,
-    repeated ids too; equal lengths are ordered by doc_id and start. No documents, no rows.
+    (documents on average). Each piece is dealt by its id, place and ids, by the task that read it and by its number
+    among equal rows there, so neither rows without id, nor repeated rows, nor one very long
+    text gather in a group. Each row is packed on its own; equal lengths are ordered by
+    doc_id and start. Extra columns are ignored. No documents, no rows.
     """
     path = tokenizer or public_tokenizers.path("byte_bpe_50k.json")
     end = np.asarray([end_id], "<u4").tobytes()
     groups = max(1, math.ceil(docs.count() / group_docs))
     pieces = (
         docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
-        .mapInArrow(_pieces(path, capacity, end), _PIECE)
-        .withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(groups)))
+        .mapInArrow(_pieces(path, capacity, end), f"{_PIECE}, _copy long")
+        .withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "_copy", F.lit(seed)), F.lit(groups)))
+        .drop("_copy")
     )
 
     def pack_group(group: pa.Table) -> pa.Table:
