@@ -160,15 +160,21 @@ def _write_segments(path: str, end: bytes):
 def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 2) -> None:
     """Encode whole texts (null: empty), end each with ``end_id``, write files by ascending doc_id.
 
-    Rows without doc_id come first; rows that repeat a doc_id are ordered by text. A file holds a
-    range of ids and is written by one task, segment by segment; Spark's committer keeps files
-    of lost tasks out. No documents: no segments.
+    Rows without doc_id come first; rows that repeat a doc_id are ordered by text (over several files by its first
+    32 characters, then by a hash), so that many of them do not meet in one task. Equal rows can change places
+    unseen and are ranged by where they were read. A file holds a range of this order and is
+    written by one task, segment by segment; Spark's committer keeps files of lost tasks
+    out. No documents: no segments.
     """
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
-    rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).select(
+        "*", F.substring("text", 1, 32).alias("_first"), F.xxhash64("text").alias("_hash"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
     (
-        rows.repartitionByRange(partitions_of(docs), "doc_id")
+        rows.repartitionByRange(partitions_of(docs), "doc_id", "_first", "_hash", "_place")
         .sortWithinPartitions("doc_id", "text")
+        .select("doc_id", "text")
         .mapInArrow(_write_segments(path, np.asarray([end_id], "<u4").tobytes()), "value binary")
         .select(F.col("value").cast("string").alias("value"))  # the bytes stay as they are
         .write.option("lineSep", "\n")
@@ -215,6 +221,11 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_ids(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
+    """Write the ids of whole texts and read them back; see :func:`write_ids` and :func:`read_ids`.
+
+    Null and empty texts are the end id alone; texts may be of any length, a segment always holds whole documents;
+    each of repeated rows has a row of its own; extra columns are ignored; no documents give no rows.
+    """
     folder = scratch(docs.sparkSession, "token-ids")
     write_ids(docs, folder, tokenizer, end_id)
     return read_ids(docs.sparkSession, folder)

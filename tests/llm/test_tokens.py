@@ -2,7 +2,7 @@
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +11,7 @@ from llm_cases import SF_DIR, docs_of, odd_documents, texts_of
 from tokenizers import Tokenizer
 
 from limitlens.llm import bpe, direct_codes, packing, queries
+from limitlens.llm.tables import scratch
 from limitlens.llm.words import encoder
 
 STRANGE = [
@@ -150,3 +151,34 @@ def test_first_fit_decreasing_by_brute_force():
             bin_ = next(b for b in range(n) if room[b] >= size)
             assert (numbers[i], offsets[i]) == (bin_, 100 - room[bin_])
             room[bin_] -= size
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_without_an_id_of_their_own_spread(spark, doc_id, monkeypatch):
+    """Missing or repeated ids, half of the texts equal: no group and no file gathers them."""
+    rows = [(doc_id, "the same words" if i % 2 else f"words of text {i} " * (i % 5)) for i in range(3000)]
+    df = docs_of(spark, rows).repartition(4)
+    packed = packing.pack(df, group_docs=300).collect()
+    check_packing(packed, rows)
+    groups = Counter(r["sequence_id"] % 10 for r in packed)  # ten groups
+    assert len(groups) == 10 and max(groups.values()) < 450
+    folder = scratch(spark, "ids")
+    monkeypatch.setattr(direct_codes, "partitions_of", lambda docs: 8)
+    direct_codes.write_ids(df, folder)
+    found = direct_codes.read_ids(spark, folder).orderBy("start").collect()
+    assert Counter((r["n_tokens"], r["ids_crc32"]) for r in found) == Counter((n, c) for _, _, n, c in expected_store(rows))
+    at = 0
+    for r in found:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    files = spark.read.format("binaryFile").load(folder).select("content").collect()
+    held = [sum(len(docs) for _, docs, _, _ in direct_codes.segments(bytes(f["content"]))) for f in files]
+    assert sum(held) == 3000 and max(held) < 900
+
+
+def test_a_long_text_is_packed_by_many_groups(spark):
+    rows = [(1, "word " * 20_000), *[(i, "a b c") for i in range(2, 60)]]
+    packed = packing.pack(docs_of(spark, rows), capacity=64, group_docs=6).collect()
+    check_packing(packed, rows, 64)
+    full = Counter(r["sequence_id"] % 10 for r in packed if r["length"] == 64)
+    assert len(full) == 10 and max(full.values()) < 3 * min(full.values())
