@@ -10,9 +10,9 @@ are encoded whole.
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
 CACHED = 400_000
@@ -59,13 +59,16 @@ class WordEncoder(dict):
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode(self, text: str) -> bytes:
         return self._pack(self.whole.encode(text, add_special_tokens=False).ids)
 
     def _letters(self, word: str) -> bytes:
-        mapped = "".join(map(self.letters.__getitem__, word.encode()))
+        if word.isascii():  # letters stand for themselves
+            mapped = self.letters[32] + word[1:] if word[0] == " " else word
+        else:
+            mapped = "".join(map(self.letters.__getitem__, word.encode()))
         return self._pack([t.id for t in self.model.tokenize(mapped)])
 
     def __missing__(self, chunk: str) -> bytes:
