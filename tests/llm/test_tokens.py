@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from limitlens.llm import bpe, direct_codes, packing, queries
 from limitlens.llm.tables import scratch
-from limitlens.llm.words import encoder
+from limitlens.llm.words import _CHUNKS, WordEncoder, encoder, stretches
 
 STRANGE = [
     "", "a", " a", "a ", "a  b", "\n\nx", " \n y", "don't I'LL x's", "<|endoftext|> hi <|ENDOFTEXT|>",
@@ -39,6 +39,27 @@ def test_word_by_word_equals_the_library(name):
         assert encoder(path).ids(text) == np.asarray(ids, "<u4").tobytes(), text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_latin_stretches_reach_the_model_without_the_whole_encoder(name, monkeypatch):
+    mine, whole, calls = WordEncoder(public_tokenizers.path(name)), library(name), []
+    monkeypatch.setattr(mine, "_encode", lambda text: calls.append(text) or WordEncoder._encode(mine, text))
+    rng = random.Random(8)
+    latin = [chr(c) for c in [*range(32, 127), *range(0xA1, 0x100), 9, 10, 13]]
+    texts = [
+        'call +1 (017) 555-7713, or und.34@mail7.example.com', 'a = "04dbebab91" | 3rd###', "don't I'LL ''s 's 12's",
+        "für äöü. ½² ªµº×÷ß\xad", "\n(x)\r\n\n 12 \t.", *["".join(rng.choices(latin, k=rng.randint(1, 30))) for _ in range(2000)],
+    ]
+    for text in texts:
+        ids = whole.encode(text, add_special_tokens=False).ids
+        assert mine.ids(text) == np.asarray(ids, "<u4").tobytes(), text
+    assert calls == []
+
+
+def test_stretches_begin_with_their_blanks():
+    for text in [t for t in STRANGE + random_texts() if "\x1f" not in t]:
+        assert [s for s in stretches(text) if s] == _CHUNKS.findall(text), text
+
+
 def test_prefix_encoder_equals_the_library_and_decodes():
     mine, whole = bpe.prefix_bpe(public_tokenizers.path("byte_bpe_50k.json")), library("byte_bpe_50k.json")
     runs = ["a" * n for n in range(1, 40)] + [" " * n + "b" for n in range(20)] + ["-" * n for n in range(90)]
