@@ -188,8 +188,10 @@ def _read_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             before = 0
             for shard, docs, lengths, codes in segments(content.as_py()):
                 stops = np.cumsum(lengths)
+                # Every document is wanted: each level is entered once for the whole segment.
+                ids = codes.between(0, int(stops[-1]))
                 crcs = [
-                    zlib.crc32(codes.between(stop - n, stop).tobytes())
+                    zlib.crc32(ids[stop - n : stop])
                     for stop, n in zip(stops.tolist(), lengths.tolist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(

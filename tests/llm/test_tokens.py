@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_cases import SF_DIR, docs_of, odd_documents, texts_of
 from tokenizers import Tokenizer
@@ -83,6 +84,25 @@ def test_codes_give_any_id_directly():
         assert codes.between(a, b).tolist() == ids[a:b].tolist()
 
 
+def test_a_segment_is_read_level_by_level(monkeypatch):
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 40, 500).tolist()
+    ids = rng.integers(0, 50_000, sum(lengths)).astype("<u4")
+    content = direct_codes.segment(3, list(range(500)), lengths, ids) + b"\n"
+    entered, between = [], direct_codes.Codes.between
+    monkeypatch.setattr(
+        direct_codes.Codes, "between", lambda self, start, stop: entered.append(start) or between(self, start, stop)
+    )
+    batch = pa.RecordBatch.from_arrays([pa.array([content * 2], pa.binary())], ["content"])
+    found = [r for b in direct_codes._read_segments([batch]) for r in b.to_pylist()]
+    assert len(entered) == 2  # two segments
+    at, stops = 0, np.cumsum(lengths).tolist()
+    for i, r in enumerate(found):
+        own = ids[stops[i % 500] - lengths[i % 500] : stops[i % 500]]
+        assert r == {"shard": 3, "doc_id": i % 500, "inside": at, "n_tokens": len(own), "ids_crc32": zlib.crc32(own.tobytes())}
+        at += len(own)
+
+
 def expected_store(rows):
     whole, out, start = library("word_bpe_49k.json"), [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
